@@ -55,7 +55,8 @@ def round_half_even(value: Column, digits: int) -> Column:
 def fixed(value: Column, digits: int, signed: bool = False) -> Column:
     """Text with a fixed number of decimals, ties to even; ``signed`` always shows the sign."""
     pattern = f"%{'+' if signed else ''}.{digits}f"
-    return F.format_string(pattern, round_half_even(value, digits))
+    text = F.format_string(pattern, round_half_even(value, digits))
+    return F.when(value.isNotNull(), text)
 
 
 def yes_no(flag: Column) -> Column:

@@ -37,19 +37,20 @@ def all_entities_on_days(table: DataFrame, days: DataFrame, spec: PanelSpec) ->
 
 
 def trailing_history(
-    requests: DataFrame, panel: DataFrame, spec: PanelSpec, days: int = 14
+    requests: DataFrame,
+    panel: DataFrame,
+    spec: PanelSpec,
+    days: int = 14,
+    following: int = 0,
 ) -> DataFrame:
     """Panel rows of the ``days`` calendar days that end on each request's day.
 
-    Each request is spread over its ``days`` days and joined on equality, so the work is
-    bounded by requests x days and a hot entity is divided by day; a range join would pair
-    all requests of an entity with its whole history.
+    ``following`` adds that many days after it. Each request is spread over its days and
+    joined on equality, so the work is bounded by requests x days and a hot entity is
+    divided by day; a range join would pair all requests of an entity with its history.
     """
-    history_day = "history_day"
     asked = requests.select(spec.entity, F.col(spec.day).alias("request_day")).distinct()
-    spread = asked.withColumn(
-        history_day,
-        F.explode(F.sequence(F.date_sub("request_day", days - 1), F.col("request_day"))),
-    )
-    history = panel.withColumnRenamed(spec.day, history_day)
-    return spread.join(history, [spec.entity, history_day], "inner")
+    first, last = F.date_sub("request_day", days - 1), F.date_add("request_day", following)
+    spread = asked.withColumn("history_day", F.explode(F.sequence(first, last)))
+    history = panel.withColumnRenamed(spec.day, "history_day")
+    return spread.join(history, [spec.entity, "history_day"], "inner")

@@ -59,9 +59,17 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
 
 def balanced_weights(train: DataFrame, label: str) -> DataFrame:
     """(label, rows, weight) with weight n / (number of classes * rows of the class)."""
-    classes = train.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    total = classes.agg((F.sum("rows") / F.count(F.lit(1))).alias("share")).scalar()
-    return classes.withColumn("weight", total / F.col("rows"))
+    counts = class_weights(train, label)
+    present = (F.col("pos") > 0).cast("int") + (F.col("neg") > 0).cast("int")
+    lines = [
+        F.struct(
+            F.lit(value).alias(label),
+            F.col(side).alias("rows"),
+            F.try_divide(F.col("pos") + F.col("neg"), present * F.col(side)).alias("weight"),
+        )
+        for value, side in ((0, "neg"), (1, "pos"))
+    ]
+    return counts.select(F.inline(F.array(*lines))).where("rows > 0")
 
 
 def with_class_weight(train: DataFrame, label: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.scalar import CARD_DAY, CARD_NEXT_DAY, HEADING_DAY, fixed
-from panelcast.operators.features import ACTUAL_AMOUNT, ACTUAL_VALUE, next_day_actual
+from panelcast.operators.features import ACTUAL_AMOUNT, ACTUAL_VALUE
 from panelcast.operators.requests import all_entities_on_days, trailing_history
 from panelcast.operators.sampling import sample_rows, top
 from panelcast.spec import PanelSpec
@@ -110,41 +110,31 @@ def history_chart(
     scored: DataFrame | None = None,
     days: int = 14,
 ) -> DataFrame:
-    """(entity, request_day, series, chart_day, value): history, forecast and actual points."""
-    level = spec.roles.level
-    columns = [spec.entity, "request_day", "series", "chart_day", "value"]
-
-    def points(df: DataFrame, series: str, day: Column, value: str) -> DataFrame:
-        return df.select(
-            spec.entity,
-            F.col("request_day"),
-            F.lit(series).alias("series"),
-            day.alias("chart_day"),
-            F.col(value).alias("value"),
-        )
+    """(entity, request_day, series, chart_day, value): history, actual and forecast points.
 
-    narrow = panel.select(*spec.key, level)
-    lines = points(
-        trailing_history(requests, narrow, spec, days), HISTORY, F.col("history_day"), level
+    History and the next day's actual come from one join.
+    """
+    level = spec.roles.level
+    narrow = panel.select(*spec.key, F.col(level).alias("value"))
+    points = trailing_history(requests, narrow, spec, days, following=1)
+    series = F.when(F.col("history_day") > F.col("request_day"), ACTUAL).otherwise(HISTORY)
+    chart = points.select(
+        spec.entity,
+        "request_day",
+        series.alias("series"),
+        F.col("history_day").alias("chart_day"),
+        "value",
     )
-    if scored is not None:
-        named = scored.withColumn("request_day", F.col(spec.day))
-        following = F.date_add("request_day", 1)
-        lines = lines.unionByName(
-            points(named.where("status = 'ok'"), PREDICTED, following, "predicted")
-        ).unionByName(
-            points(named.where(F.col(ACTUAL_VALUE).isNotNull()), ACTUAL, following, ACTUAL_VALUE)
-        )
-    else:
-        asked = requests.select(*spec.key).distinct()
-        actual = next_day_actual(panel, spec).join(asked, spec.key, "left_semi")
-        named = actual.where(F.col(ACTUAL_VALUE).isNotNull()).withColumn(
-            "request_day", F.col(spec.day)
-        )
-        lines = lines.unionByName(
-            points(named, ACTUAL, F.date_add("request_day", 1), ACTUAL_VALUE)
-        )
-    return lines.select(*columns)
+    if scored is None:
+        return chart
+    forecast = scored.where(F.col("predicted").isNotNull()).select(
+        spec.entity,
+        F.col(spec.day).alias("request_day"),
+        F.lit(PREDICTED).alias("series"),
+        F.date_add(spec.day, 1).alias("chart_day"),
+        F.col("predicted").alias("value"),
+    )
+    return chart.unionByName(forecast)
 
 
 def actual_vs_predicted(
