@@ -105,36 +105,27 @@ def threshold_sweep(
 ) -> DataFrame:
     """(threshold, Accuracy, Precision, Recall, F1) for ``score >= threshold``.
 
-    Rows are first counted between neighbouring thresholds, so each row is looked at once
-    and never copied per threshold; the sums over at most ``len(thresholds) + 1`` counts
-    per class follow in the one-row result.
+    Rows are counted by how many thresholds they reach, in one pass and without copying
+    them; only those at most ``len(thresholds) + 1`` counts are spread over thresholds.
     """
-    steps = sorted(thresholds)
-    passed = F.lit(0)
-    for t in steps:
-        passed = passed + (F.col(score) >= t).cast("int")
-    counted = df.select((F.col(label) == 1).alias("actual"), passed.alias("passed"))
-    cells = counted.agg(
-        *[
-            F.count_if((F.col("actual") == a) & (F.col("passed") == k)).alias(f"c{int(a)}_{k}")
-            for a in (True, False)
-            for k in range(len(steps) + 1)
-        ]
+    steps = [float(t) for t in sorted(thresholds)]
+    reached = sum(((F.col(score) >= t).cast("int") for t in steps), F.lit(0))
+    counts = df.groupBy(reached.alias("reached")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
     )
+    spread = counts.select("*", F.posexplode(F.lit(steps)).alias("step", "threshold"))
+    above = F.col("reached") > F.col("step")
 
-    def total(a: int, ks: range) -> Column:
-        return sum((F.col(f"c{a}_{k}") for k in ks), F.lit(0))
+    def total(side: str, inside: Column) -> Column:
+        return F.sum(F.when(inside, F.col(side)).otherwise(0))
 
-    lines = []
-    for i, t in enumerate(steps):
-        below, above = range(0, i + 1), range(i + 1, len(steps) + 1)
-        metrics = _binary_from_counts(
-            total(1, above), total(0, above), total(1, below), total(0, below)
-        )
-        lines.append(
-            F.struct(
-                F.lit(float(t)).alias("threshold"),
-                *[_rounded(m, digits).alias(n) for n, m in metrics.items()],
-            )
-        )
-    return cells.select(F.inline(F.array(*lines)))
+    cells = spread.groupBy("threshold").agg(
+        total("pos", above).alias("tp"),
+        total("neg", above).alias("fp"),
+        total("pos", ~above).alias("fn"),
+        total("neg", ~above).alias("tn"),
+    )
+    metrics = _binary_from_counts(*[F.col(c) for c in ("tp", "fp", "fn", "tn")])
+    return cells.select(
+        "threshold", *[_rounded(m, digits).alias(n) for n, m in metrics.items()]
+    ).orderBy("threshold")

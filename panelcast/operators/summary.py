@@ -87,20 +87,26 @@ def yearly_trend(panel: DataFrame, spec: PanelSpec, name: str = "temp") -> DataF
     )
 
 
-def _pearson(a: str, b: str) -> Column:
+def _pearson(a: str, b: str, complete: bool) -> Column:
     """Correlation over the rows where both values exist; NULL for a constant column.
 
     The built-in ``corr`` divides by zero on constant columns in ANSI mode.
     """
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+    x, y = F.col(a), F.col(b)
+    if not complete:
+        both = x.isNotNull() & y.isNotNull()
+        x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, corr) for each unordered pair of columns, from a single aggregate row."""
+def correlations(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
+    """(a, b, corr) for each unordered pair of columns, from a single aggregate row.
+
+    ``complete`` states that no value is NULL: each column's deviation is then computed
+    once instead of once per pair.
+    """
     pairs = list(combinations(columns, 2))
-    row = df.agg(*[_pearson(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[_pearson(a, b, complete).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
     cells = [
         F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"p{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)
@@ -108,23 +114,26 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*cells)))
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def correlation_matrix(
+    df: DataFrame, columns: Sequence[str], complete: bool = False
+) -> DataFrame:
     """One row per column with its correlation to every column.
 
     The diagonal is 1, or NULL for a column without variation.
     """
-    pairs = {frozenset(p): f"p{i}" for i, p in enumerate(combinations(columns, 2))}
+    order = list(columns)
+    pairs = {frozenset(p): (f"p{i}", p) for i, p in enumerate(combinations(order, 2))}
     row = df.agg(
-        *[_pearson(*sorted(p, key=list(columns).index)).alias(n) for p, n in pairs.items()],
-        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(columns)],
+        *[_pearson(a, b, complete).alias(name) for name, (a, b) in pairs.values()],
+        *[F.when(F.stddev_pop(c) > 0, 1.0).alias(f"d{i}") for i, c in enumerate(order)],
     )
 
     def cell(i: int, a: str, b: str) -> Column:
-        return F.col(f"d{i}" if a == b else pairs[frozenset((a, b))]).alias(b)
+        return F.col(f"d{i}" if a == b else pairs[frozenset((a, b))][0]).alias(b)
 
     lines = [
-        F.struct(F.lit(a).alias("column"), *[cell(i, a, b) for b in columns])
-        for i, a in enumerate(columns)
+        F.struct(F.lit(a).alias("column"), *[cell(i, a, b) for b in order])
+        for i, a in enumerate(order)
     ]
     return row.select(F.inline(F.array(*lines)))
 

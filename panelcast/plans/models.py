@@ -17,7 +17,6 @@ from panelcast.operators.split import WEIGHT
 from panelcast.spec import PanelSpec
 
 RAW, FEATURES = "raw", "features"
-FOREST_MEMORY_MB = 512
 
 
 @dataclass(frozen=True)
@@ -49,7 +48,7 @@ def forest_regressor(trees: int = 100, depth: int = 10, seed: int = 42, **params
             numTrees=trees,
             maxDepth=depth,
             seed=seed,
-            **{"maxMemoryInMB": FOREST_MEMORY_MB} | params,
+            **params,
         ),
     )
 
@@ -104,7 +103,7 @@ def forest_classifier(
             numTrees=trees,
             maxDepth=depth,
             seed=seed,
-            **{"maxMemoryInMB": FOREST_MEMORY_MB} | params,
+            **params,
         ),
         weights=weights,
     )

@@ -17,10 +17,12 @@ from panelcast.operators.features import feature_names
 from panelcast.operators.metrics import BINARY, REGRESSION, binary_columns, regression_columns
 from panelcast.operators.split import time_split, with_balanced_weight, with_class_weight
 from panelcast.plans.models import FEATURES, ModelConfig, input_names, preparation
-from panelcast.sources.writers import RESULTS
+from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
+from panelcast.storage import fresh_path
 
 VALUE_TASK, FLAG_TASK = "temperature", "rain"
+MAX_CATEGORIES = 10_000
 
 
 @dataclass
@@ -43,29 +45,55 @@ class TrainingSet:
     )
 
 
+def stored_features(features: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Write the feature table by year under the shared folder and read it back.
+
+    Training reads its rows many times. From files, a lost executor costs a re-read, not
+    another scan of the source and another window; each side of the split reads its years
+    only.
+    """
+    spark = features.sparkSession
+    path = fresh_path(spark, "features")
+    write_features(features, path, spec)
+    return spark.read.schema(features.schema).parquet(path).select(*features.columns)
+
+
 def _label(spec: PanelSpec, task: str) -> str:
     return (spec.value_target if task == "value" else spec.flag_target).alias
 
 
 def _spread(train: DataFrame, spec: PanelSpec) -> DataFrame:
-    """At least one partition per core; the unique key spreads a hot entity evenly."""
+    """Even partitions for a table of few files; a large one is already cut by file size.
+
+    Every tree level waits for the slowest task. The unique key spreads a hot entity too.
+    """
     cores = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() >= cores:
+    if train.rdd.getNumPartitions() >= 4 * cores:
         return train
     return train.repartition(cores, *spec.key)
 
 
+def _check_categories(train: DataFrame, spec: PanelSpec) -> None:
+    """One-hot inputs are one column per entity, and their list is kept on the driver."""
+    found = train.select(spec.entity).distinct().limit(MAX_CATEGORIES + 1).count()
+    if found > MAX_CATEGORIES:
+        raise ValueError(
+            f"more than {MAX_CATEGORIES} values of {spec.entity}: too many for one-hot inputs; "
+            "train on groups of entities"
+        )
+
+
 @contextmanager
 def training_set(features: DataFrame, spec: PanelSpec, centred: Iterable[bool] = (False,)):
     """Split by time and prepare the training rows once for all estimators.
 
-    ``features`` should be a written table: the estimators read it repeatedly, and what a
-    lost executor held is then rebuilt from files. The prepared rows are cached on memory
-    and disk inside the block.
+    ``features`` should be a written table, see :func:`stored_features`. The prepared rows
+    are cached on memory and disk inside the block.
     """
     numeric = feature_names(features.columns, spec)
     train, test = time_split(features, spec)
     train = _spread(train, spec)
+    _check_categories(train, spec)
     data = TrainingSet(spec, numeric, test)
     value, flag = _label(spec, "value"), _label(spec, "flag")
     try:

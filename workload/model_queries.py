@@ -11,7 +11,6 @@ from panelcast.operators.features import build_features, feature_names
 from panelcast.operators.metrics import confusion_matrix
 from panelcast.operators.split import time_split
 from panelcast.plans import models, reports, scoring, training
-from panelcast.sources.writers import write_features
 from panelcast.storage import fresh_path
 from workload import sql
 from workload.comparable import comparable
@@ -26,12 +25,8 @@ from workload.panels import (
 from workload.registry import query
 
 
-def stored_features(spark, panel):
-    """The feature table as files by year, which training and testing read separately."""
-    features = build_features(panel, SPEC)
-    path = fresh_path(spark, "features")
-    write_features(features, path, SPEC)
-    return spark.read.schema(features.schema).parquet(path).select(*features.columns)
+def stored_features(panel):
+    return training.stored_features(build_features(panel, SPEC), SPEC)
 
 
 def small_forest(kind):
@@ -120,7 +115,7 @@ def linear_fit_one_input(spark, sf_dir):
 
 
 def _train_eval(spark, sf_dir, config):
-    features = stored_features(spark, nation_panel(spark, sf_dir))
+    features = stored_features(nation_panel(spark, sf_dir))
     return training.leaderboard(features, SPEC, [config], baselines=False).drop("seconds")
 
 
@@ -141,7 +136,7 @@ def train_eval_logistic(spark, sf_dir):
 
 @query()
 def train_eval_logistic_penalised(spark, sf_dir):
-    features = stored_features(spark, nation_panel(spark, sf_dir))
+    features = stored_features(nation_panel(spark, sf_dir))
     rows = time_split(features, SPEC)[0].count()
     return training.leaderboard(
         features, SPEC, [models.penalised_logistic(rows)], baselines=False
@@ -156,7 +151,7 @@ def train_eval_forest_classifier(spark, sf_dir):
 @query()
 def model_leaderboard(spark, sf_dir):
     """Baselines and four models side by side, from one prepared training set."""
-    features = stored_features(spark, status_panel(spark, sf_dir))
+    features = stored_features(status_panel(spark, sf_dir))
     configs = [
         models.linear(),
         small_forest(models.forest_regressor),
@@ -167,7 +162,7 @@ def model_leaderboard(spark, sf_dir):
 
 
 def _fitted(spark, sf_dir, *configs):
-    features = stored_features(spark, status_panel(spark, sf_dir))
+    features = stored_features(status_panel(spark, sf_dir))
     with training.training_set(features, SPEC, [c.centred for c in configs]) as data:
         return data.test, [training.fit(data, c) for c in configs]
 

@@ -98,7 +98,7 @@ def yearly_trend(spark, sf_dir):
     )
 )
 def correlations(spark, sf_dir):
-    return comparable(summary.correlations(status_panel(spark, sf_dir), CORRELATED))
+    return comparable(summary.correlations(status_panel(spark, sf_dir), CORRELATED, complete=True))
 
 
 @query(
