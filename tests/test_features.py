@@ -1,0 +1,119 @@
+import datetime as dt
+
+import pytest
+from panels import assert_same, features_in_pandas, from_rows, rows_of, to_spark, weather_frame
+from pyspark.sql import functions as F
+
+from panelcast.operators.features import (
+    build_features,
+    feature_names,
+    next_day_actual,
+    scoring_features,
+)
+from panelcast.spec import PanelSpec
+from panelcast.weather import WEATHER
+
+
+def test_full_table_has_expected_columns_and_rows(spark):
+    frame = weather_frame()
+    table = build_features(to_spark(spark, frame), WEATHER)
+    assert len(table.columns) == 29
+    assert len(feature_names(table.columns, WEATHER)) == 23
+    assert_same(table, features_in_pandas(frame).dropna())
+    assert table.count() == len(frame) - 3 * 3
+
+
+@pytest.mark.parametrize("chunk_days", [1, 2, 5, 7, 16, 1000])
+@pytest.mark.parametrize("keep", [1.0, 0.5, 0.1])
+def test_chunked_windows_equal_whole_windows(spark, chunk_days, keep):
+    frame = weather_frame(days=60, keep=keep, seed=int(keep * 10) + chunk_days)
+    panel = to_spark(spark, frame)
+    options = {"actuals": True, "drop_incomplete": False}
+    whole = build_features(panel, WEATHER, **options).toPandas()
+    chunked = build_features(panel, WEATHER, chunk_days=chunk_days, **options)
+    assert_same(chunked, whole)
+
+
+def test_result_does_not_depend_on_order_or_partitions(spark):
+    frame = weather_frame(seed=3)
+    want = build_features(to_spark(spark, frame), WEATHER).toPandas()
+    shuffled = to_spark(spark, frame.sample(frac=1, random_state=1)).repartition(7)
+    assert_same(build_features(shuffled, WEATHER), want)
+
+
+def test_features_do_not_see_the_future(spark):
+    frame = weather_frame(days=30)
+    cut = frame["date"].min() + dt.timedelta(days=20)
+    changed = frame.copy()
+    later = changed["date"] > cut
+    changed.loc[later, "temperature_2m_mean"] += 100
+    changed.loc[later, "precipitation_sum"] = 50
+    past = F.col("date") <= F.lit(cut)
+    before = scoring_features(to_spark(spark, frame), WEATHER).where(past)
+    after = scoring_features(to_spark(spark, changed), WEATHER).where(past)
+    assert_same(after, before.toPandas())
+
+
+def test_scoring_features_equal_training_features(spark):
+    panel = to_spark(spark, weather_frame(seed=5))
+    training = build_features(panel, WEATHER)
+    scoring = scoring_features(panel, WEATHER)
+    common = scoring.join(training.select("city", "date"), ["city", "date"], "left_semi")
+    assert_same(common, training.select(*scoring.columns).toPandas())
+
+
+def test_missing_day_frames_count_rows_but_actual_is_by_calendar(spark):
+    panel = from_rows(
+        spark, rows_of("A", ["2024-01-01", "2024-01-02", "2024-01-04"], [1.0, 2.0, 6.0])
+    )
+    rows = build_features(panel, WEATHER, drop_incomplete=False, actuals=True).orderBy("date")
+    first, second, third = rows.collect()
+    assert third["temp_avg_3d"] == 3.0 and third["temperature_2m_mean_lag2"] == 1.0
+    assert second["temp_tomorrow"] == 6.0 and second["actual_value"] is None
+    assert first["actual_value"] == 2.0 and third["actual_value"] is None
+    plain = next_day_actual(panel, WEATHER).orderBy("date").collect()
+    assert [r["actual_amount"] for r in plain] == [2.0, None, None]
+
+
+def test_null_inside_a_window_is_skipped(spark):
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    panel = from_rows(spark, rows_of("A", days, [1.5, None, 2.5]))
+    rows = scoring_features(panel, WEATHER).orderBy("date").collect()
+    assert [r["temp_avg_3d"] for r in rows] == [1.5, 1.5, 2.0]
+    assert rows[2]["temperature_2m_mean_lag1"] is None
+
+
+def test_flag_target_threshold_tie_and_null(spark):
+    days = [f"2024-01-0{i}" for i in range(1, 6)]
+    panel = from_rows(spark, rows_of("A", days, [9.0, 0.0, 1.0, None, 0.9]))
+    rows = build_features(panel, WEATHER, drop_incomplete=False).orderBy("date").collect()
+    assert [r["rain_tomorrow"] for r in rows] == [0, 1, None, 0, None]
+
+
+@pytest.mark.parametrize("n,left", [(1, 0), (2, 0), (3, 0), (4, 1)])
+def test_short_entities_lose_all_rows(spark, n, left):
+    panel = from_rows(spark, rows_of("A", [f"2024-01-0{i + 1}" for i in range(n)]))
+    assert build_features(panel, WEATHER).count() == left
+
+
+def test_nan_row_is_dropped(spark):
+    days = [f"2024-01-0{i}" for i in range(1, 7)]
+    panel = from_rows(spark, rows_of("A", days))
+    day = F.to_date(F.lit("2024-01-06"))
+    nan = F.when(F.col("date") == day, F.lit(float("nan"))).otherwise(F.col("rain_sum"))
+    assert build_features(panel, WEATHER).count() == 3
+    third = F.to_date(F.lit("2024-01-03"))
+    nan = F.when(F.col("date") == third, F.lit(float("nan"))).otherwise(F.col("rain_sum"))
+    assert build_features(panel.withColumn("rain_sum", nan), WEATHER).count() == 2
+
+
+@pytest.mark.parametrize("chunk_days", [None, 3])
+def test_duplicate_day_fails(spark, chunk_days):
+    panel = from_rows(spark, rows_of("A", ["2024-01-01", "2024-01-02", "2024-01-02"]))
+    with pytest.raises(Exception, match="duplicate key: A 2024-01-02"):
+        scoring_features(panel, WEATHER, chunk_days=chunk_days).collect()
+
+
+def test_spec_survives_json():
+    assert PanelSpec.from_json(WEATHER.to_json()) == WEATHER
+    assert (WEATHER.lookback, WEATHER.horizon) == (6, 1)
