@@ -19,7 +19,8 @@ def lookup(requests: DataFrame, table: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def requested_entities(requests: DataFrame, table: DataFrame, spec: PanelSpec) -> DataFrame:
     """The rows of ``table`` whose entity is requested; safe below a window by entity."""
-    return table.join(requests.select(spec.entity).distinct(), spec.entity, "left_semi")
+    wanted = requests.select(spec.entity).distinct()
+    return table.join(wanted, spec.entity, "left_semi").select(*table.columns)
 
 
 def unknown_entities(requests: DataFrame, panel: DataFrame, spec: PanelSpec) -> DataFrame:
@@ -33,7 +34,8 @@ def unknown_entities(requests: DataFrame, panel: DataFrame, spec: PanelSpec) ->
 
 def all_entities_on_days(table: DataFrame, days: DataFrame, spec: PanelSpec) -> DataFrame:
     """Every entity's row on each requested day; entities without that day are skipped."""
-    return table.join(days.select(spec.day).distinct(), spec.day, "left_semi")
+    wanted = days.select(spec.day).distinct()
+    return table.join(wanted, spec.day, "left_semi").select(*table.columns)
 
 
 def trailing_history(
