@@ -32,33 +32,55 @@ def model_inputs(columns: list[str], spec: PanelSpec) -> list[str]:
     return [c for c in feature_names(columns, spec) if c not in (ACTUAL_VALUE, ACTUAL_AMOUNT)]
 
 
-def request_rows(
+def requested_features(
+    requests: DataFrame, panel: DataFrame, spec: PanelSpec, chunk_days: int | None = None
+) -> DataFrame:
+    """Feature rows of the requested days, with the next day's actuals and ``complete``.
+
+    Only the requested entities go through the window. The day is not filtered below it,
+    since the rows before and after belong to the frames. A day asked for many times is
+    one row here: requests are reduced to their distinct keys before the join.
+    """
+    wanted = requested_entities(requests, panel, spec)
+    table = scoring_features(wanted, spec, actuals=True, chunk_days=chunk_days)
+    asked = requests.select(*spec.key).distinct()
+    rows = table.join(asked, spec.key, "left_semi").select(*table.columns)
+    return rows.withColumn("complete", ~any_missing(model_inputs(table.columns, spec)))
+
+
+def answer(
     requests: DataFrame,
+    rows: DataFrame,
     panel: DataFrame,
     spec: PanelSpec,
     default_threshold: float = 0.5,
-    chunk_days: int | None = None,
 ) -> DataFrame:
-    """Requests with the features of their day, the next day's actuals and a ``status``.
-
-    Only the requested entities go through the window. The day is not filtered below it,
-    since the rows before and after belong to the frames.
-    """
+    """Every request with its day's row and a ``status`` that says why there is none."""
     if "threshold" not in requests.columns:
         requests = requests.withColumn("threshold", F.lit(default_threshold))
-    wanted = requested_entities(requests, panel, spec)
-    known = wanted.select(spec.entity, F.lit(True).alias("known")).distinct()
-    table = scoring_features(wanted, spec, actuals=True, chunk_days=chunk_days)
-    inputs = model_inputs(table.columns, spec)
-    rows = lookup(requests, table.withColumn("found", F.lit(True)), spec)
-    rows = rows.join(known, spec.entity, "left")
+    known = requested_entities(requests, panel.select(spec.entity), spec).distinct()
+    answered = lookup(requests, rows, spec).join(
+        known.withColumn("known", F.lit(True)), spec.entity, "left"
+    )
     status = (
         F.when(F.col("known").isNull(), UNKNOWN)
-        .when(F.col("found").isNull(), NO_DAY)
-        .when(any_missing(inputs), SHORT_HISTORY)
+        .when(F.col("complete").isNull(), NO_DAY)
+        .when(~F.col("complete"), SHORT_HISTORY)
         .otherwise(OK)
     )
-    return rows.withColumn("status", status).drop("known", "found")
+    return answered.withColumn("status", status).drop("known", "complete")
+
+
+def request_rows(
+    requests: DataFrame,
+    panel: DataFrame,
+    spec: PanelSpec,
+    default_threshold: float = 0.5,
+    chunk_days: int | None = None,
+) -> DataFrame:
+    """Requests with the features of their day, the next day's actuals and ``status``."""
+    rows = requested_features(requests, panel, spec, chunk_days)
+    return answer(requests, rows, panel, spec, default_threshold)
 
 
 def _keeping_incomplete(model: PipelineModel) -> PipelineModel:
@@ -74,9 +96,8 @@ def _keeping_incomplete(model: PipelineModel) -> PipelineModel:
 def apply_models(
     rows: DataFrame, value_model: PipelineModel, flag_model: PipelineModel
 ) -> DataFrame:
-    """Add ``predicted`` and ``score``; NULL where the status is not ok."""
-    usable = F.col("status") == OK
-    columns = rows.columns
+    """Add ``predicted`` and ``score``; NULL where the row is not complete."""
+    columns, usable = rows.columns, F.col("complete")
     valued = _keeping_incomplete(value_model).transform(rows)
     valued = valued.select(*columns, F.when(usable, F.col("prediction")).alias("predicted"))
     scored = _keeping_incomplete(flag_model).transform(valued)
@@ -120,6 +141,10 @@ def score(
     default_threshold: float = 0.5,
     chunk_days: int | None = None,
 ) -> DataFrame:
-    """One row per request with status, forecast, decision, labels and actuals."""
-    rows = request_rows(requests, panel, spec, default_threshold, chunk_days)
-    return decide(apply_models(rows, value_model, flag_model), spec)
+    """One row per request with status, forecast, decision, labels and actuals.
+
+    The models run once per requested (entity, day), however many requests share it.
+    """
+    rows = requested_features(requests, panel, spec, chunk_days)
+    forecast = apply_models(rows, value_model, flag_model)
+    return decide(answer(requests, forecast, panel, spec, default_threshold), spec)

@@ -12,8 +12,8 @@ from panelcast.operators.summary import counts_by
 from panelcast.operators.windows import along_days
 from panelcast.plans.scoring import model_inputs
 from workload import sql
-from workload.comparable import comparable
-from workload.panels import SPEC, status_panel
+from workload.comparable import comparable, sql_select
+from workload.panels import SPEC, nation_panel, status_panel
 from workload.registry import query
 
 
@@ -32,6 +32,21 @@ def panel_daily(spark, sf_dir):
     return comparable(status_panel(spark, sf_dir))
 
 
+@query(
+    f"WITH {sql.NATION_PANEL} " + sql_select(f"entity:s day:t {sql.MEASURES}", "panel")
+)
+def nation_panel_daily(spark, sf_dir):
+    return comparable(nation_panel(spark, sf_dir))
+
+
+@query(
+    f"WITH {sql.NATION_PANEL}, {sql.WINDOWED}, {sql.FEATURES} "
+    + sql_select(sql.TRAINING, "features")
+)
+def nation_feature_table(spark, sf_dir):
+    return comparable(build_features(nation_panel(spark, sf_dir), SPEC))
+
+
 @query(sql.on_features(sql.TRAINING))
 def feature_table(spark, sf_dir):
     return comparable(training_features(spark, sf_dir))

@@ -13,6 +13,12 @@ PANEL = """panel AS (
          avg(l_linenumber) AS line_mean
   FROM lineitem GROUP BY 1, 2)"""
 
+NATION_PANEL = PANEL.replace("l_returnflag || l_linestatus AS entity", "n_name AS entity").replace(
+    "FROM lineitem",
+    "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey "
+    "JOIN nation ON s_nationkey = n_nationkey",
+)
+
 WINDOWED = """windowed AS (
   SELECT *, year(day) AS year, month(day) AS month, dayofyear(day) AS day_of_year,
          lag(price_mean, 1) OVER w AS price_mean_lag1,
