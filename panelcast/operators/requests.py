@@ -1,7 +1,8 @@
 """Lookups of (entity, day) requests in a panel, all as equi-joins.
 
-No side is broadcast by hint: sizes are not known here, and adaptive execution broadcasts
-a side it has measured to be small, or splits a hot key, at run time.
+Panel-sized sides are never broadcast by hint: adaptive execution broadcasts a side it has
+measured to be small. Requests may share a day without limit; they are reduced to distinct
+keys, counted, or joined by :func:`~panelcast.operators.skew.lookup_unique`.
 """
 
 from __future__ import annotations
@@ -9,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators.skew import lookup_unique
 from panelcast.spec import PanelSpec
 
 
 def lookup(requests: DataFrame, table: DataFrame, spec: PanelSpec) -> DataFrame:
     """Requests with the columns of their (entity, day) row, NULL where there is none."""
-    return requests.join(table, spec.key, "left")
+    return lookup_unique(requests, table, spec.key)
 
 
 def requested_entities(requests: DataFrame, table: DataFrame, spec: PanelSpec) -> DataFrame:

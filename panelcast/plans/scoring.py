@@ -35,40 +35,35 @@ def model_inputs(columns: list[str], spec: PanelSpec) -> list[str]:
 def requested_features(
     requests: DataFrame, panel: DataFrame, spec: PanelSpec, chunk_days: int | None = None
 ) -> DataFrame:
-    """Feature rows of the requested days, with the next day's actuals and ``complete``.
+    """One row per requested (entity, day): features, the next day's actuals, ``status``.
 
     Only the requested entities go through the window. The day is not filtered below it,
     since the rows before and after belong to the frames. A day asked for many times is
-    one row here: requests are reduced to their distinct keys before the join.
+    one row here, and the status is settled on these distinct keys.
     """
-    wanted = requested_entities(requests, panel, spec)
-    table = scoring_features(wanted, spec, actuals=True, chunk_days=chunk_days)
     asked = requests.select(*spec.key).distinct()
-    rows = table.join(asked, spec.key, "left_semi").select(*table.columns)
-    return rows.withColumn("complete", ~any_missing(model_inputs(table.columns, spec)))
-
-
-def answer(
-    requests: DataFrame,
-    rows: DataFrame,
-    panel: DataFrame,
-    spec: PanelSpec,
-    default_threshold: float = 0.5,
-) -> DataFrame:
-    """Every request with its day's row and a ``status`` that says why there is none."""
-    if "threshold" not in requests.columns:
-        requests = requests.withColumn("threshold", F.lit(default_threshold))
+    wanted = requested_entities(requests, panel, spec)
     known = requested_entities(requests, panel.select(spec.entity), spec).distinct()
-    answered = lookup(requests, rows, spec).join(
-        known.withColumn("known", F.lit(True)), spec.entity, "left"
-    )
+    table = scoring_features(wanted, spec, actuals=True, chunk_days=chunk_days)
+    complete = ~any_missing(model_inputs(table.columns, spec))
+    rows = asked.join(table.withColumn("complete", complete), spec.key, "left")
+    rows = rows.join(known.withColumn("known", F.lit(True)), spec.entity, "left")
     status = (
         F.when(F.col("known").isNull(), UNKNOWN)
         .when(F.col("complete").isNull(), NO_DAY)
         .when(~F.col("complete"), SHORT_HISTORY)
         .otherwise(OK)
     )
-    return answered.withColumn("status", status).drop("known", "complete")
+    return rows.select(*table.columns, status.alias("status"))
+
+
+def answer(
+    requests: DataFrame, rows: DataFrame, spec: PanelSpec, default_threshold: float = 0.5
+) -> DataFrame:
+    """Every request with the row of its key; a request without entity or day is unknown."""
+    if "threshold" not in requests.columns:
+        requests = requests.withColumn("threshold", F.lit(default_threshold))
+    return lookup(requests, rows, spec).na.fill(UNKNOWN, ["status"])
 
 
 def request_rows(
@@ -80,7 +75,7 @@ def request_rows(
 ) -> DataFrame:
     """Requests with the features of their day, the next day's actuals and ``status``."""
     rows = requested_features(requests, panel, spec, chunk_days)
-    return answer(requests, rows, panel, spec, default_threshold)
+    return answer(requests, rows, spec, default_threshold)
 
 
 def _keeping_incomplete(model: PipelineModel) -> PipelineModel:
@@ -96,8 +91,8 @@ def _keeping_incomplete(model: PipelineModel) -> PipelineModel:
 def apply_models(
     rows: DataFrame, value_model: PipelineModel, flag_model: PipelineModel
 ) -> DataFrame:
-    """Add ``predicted`` and ``score``; NULL where the row is not complete."""
-    columns, usable = rows.columns, F.col("complete")
+    """Add ``predicted`` and ``score``; NULL where the status is not ok."""
+    columns, usable = rows.columns, F.col("status") == OK
     valued = _keeping_incomplete(value_model).transform(rows)
     valued = valued.select(*columns, F.when(usable, F.col("prediction")).alias("predicted"))
     scored = _keeping_incomplete(flag_model).transform(valued)
@@ -147,4 +142,4 @@ def score(
     """
     rows = requested_features(requests, panel, spec, chunk_days)
     forecast = apply_models(rows, value_model, flag_model)
-    return decide(answer(requests, forecast, panel, spec, default_threshold), spec)
+    return decide(answer(requests, forecast, spec, default_threshold), spec)
