@@ -5,6 +5,7 @@ Two physical forms give the same rows:
 * one window per entity. With a unique (entity, day) key a group cannot outgrow the
   calendar (a century is 36,525 rows), however large its share of the table is, so this
   is the default. The uniqueness is enforced while the window runs, at no extra shuffle.
+  Rows without entity or day have no place on a timeline and stay out of it.
 * ``chunk_days``: windows per (entity, chunk of days), so that a few long series spread
   over many tasks. A row whose frame reaches over a chunk border is recomputed from the
   rows next to the borders only, a small share of the table.
@@ -55,6 +56,7 @@ def along_days(
     columns read. All columns share one window, hence one shuffle and one sort.
     """
     key, keep = (entity, day), panel.columns
+    panel = panel.where(F.col(entity).isNotNull() & F.col(day).isNotNull())
     by_entity = Window.partitionBy(entity).orderBy(day)
     if chunk_days is None:
         return _computed(panel, keep, key, by_entity, build)

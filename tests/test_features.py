@@ -114,6 +114,14 @@ def test_duplicate_day_fails(spark, chunk_days):
         scoring_features(panel, WEATHER, chunk_days=chunk_days).collect()
 
 
+@pytest.mark.parametrize("chunk_days", [None, 3])
+def test_rows_without_a_key_stay_out_of_the_windows(spark, chunk_days):
+    good = rows_of("A", ["2024-01-01", "2024-01-02"], [1.0, 2.0])
+    bad = [("A", None, *good[0][2:]), ("A", None, *good[0][2:]), (None, *good[0][1:])]
+    rows = scoring_features(from_rows(spark, good + bad), WEATHER, chunk_days=chunk_days)
+    assert [r["rain_sum_7d"] for r in rows.orderBy("date").collect()] == [1.0, 3.0]
+
+
 def test_spec_survives_json():
     assert PanelSpec.from_json(WEATHER.to_json()) == WEATHER
     assert (WEATHER.lookback, WEATHER.horizon) == (6, 1)

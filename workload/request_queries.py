@@ -8,8 +8,9 @@ from panelcast.functions.scalar import yes_no
 from panelcast.operators import requests as ops
 from panelcast.operators.features import next_day_actual as next_day_actual_rows
 from panelcast.operators.features import scoring_features
+from panelcast.plans.reports import cards
 from panelcast.plans.reports import history_chart as history_chart_rows
-from panelcast.plans.scoring import request_rows
+from panelcast.plans.scoring import answer, decide, request_rows, requested_features
 from workload import sql
 from workload.comparable import comparable
 from workload.panels import SPEC, month_starts, order_requests, status_panel
@@ -155,3 +156,82 @@ def threshold_decisions(spark, sf_dir):
             F.count(F.lit(1)).alias("requests")
         )
     )
+
+
+_DECIDED = (
+    "decided AS (SELECT r.*, w.* EXCLUDE (entity, day), a.actual_value, a.actual_amount, "
+    "CASE WHEN w.price_mean_lag2 IS NOT NULL THEN w.price_mean END AS predicted, "
+    "CASE WHEN w.price_mean_lag2 IS NOT NULL THEN w.qty_mean / 50 END AS score, "
+    "w.price_mean_lag2 IS NOT NULL AS usable "
+    "FROM requests r LEFT JOIN windowed w ON r.entity = w.entity AND r.day = w.day "
+    "LEFT JOIN actual a ON r.entity = a.entity AND r.day = a.day)"
+)
+_LABEL = (
+    "CASE WHEN NOT usable THEN NULL WHEN {event} THEN 'Rain' WHEN line_mean >= 4.25 THEN "
+    "'Cloudy' WHEN line_mean >= 3.5 THEN 'Partly cloudy' ELSE 'Clear sky' END"
+)
+
+
+def persistence_forecast(spark, sf_dir):
+    """Requests answered with today's level as forecast and the scaled amount as score."""
+    requests = order_requests(spark, sf_dir)
+    rows = requested_features(requests, status_panel(spark, sf_dir), SPEC)
+    usable = F.col("status") == "ok"
+    forecast = rows.withColumns(
+        {
+            "predicted": F.when(usable, F.col(SPEC.roles.level)),
+            "score": F.when(usable, F.col(SPEC.roles.amount) / 50),
+        }
+    )
+    return decide(answer(requests, forecast, SPEC), SPEC)
+
+
+@query(
+    sql.on_windowed(
+        "request_id:i entity:s day:t predicted:d score:d threshold:d decision:s today:s "
+        "tomorrow:s era:s next_day:t actual_event:s",
+        "(SELECT *, CASE WHEN usable THEN CASE WHEN score >= threshold THEN 'YES' ELSE 'NO' END "
+        f"END AS decision, {_LABEL.format(event='qty_mean >= 27')} AS today, "
+        f"{_LABEL.format(event='score >= threshold')} AS tomorrow, "
+        "CASE WHEN day >= DATE '2000-01-01' THEN 'Unseen test date' ELSE 'Training date' END "
+        "AS era, day + 1 AS next_day, CASE WHEN actual_amount >= 27 THEN 'rainy' "
+        "WHEN actual_amount < 27 THEN 'dry' END AS actual_event FROM decided)",
+        _ACTUAL,
+        sql.REQUESTS,
+        _DECIDED,
+    )
+)
+def baseline_forecast(spark, sf_dir):
+    decided = persistence_forecast(spark, sf_dir)
+    return comparable(
+        decided.select(
+            "request_id", *SPEC.key, "predicted", "score", "threshold", "decision",
+            F.col("today.label").alias("today"), F.col("tomorrow.label").alias("tomorrow"),
+            "era", "next_day", "actual_event",
+        )
+    )
+
+
+@query(
+    sql.on_windowed(
+        "entity:s day:t observed_day:s observed_level:s observed_condition:s observed_foot:s "
+        "predicted_day:s predicted_level:s predicted_condition:s predicted_foot:s",
+        "(SELECT entity, day, strftime(day, '%a, %d %b %Y') AS observed_day, "
+        "printf('%.0f', round_even(price_mean, 0)) AS observed_level, "
+        f"{_LABEL.format(event='qty_mean >= 27')} AS observed_condition, "
+        "printf('High %.0f° · Low %.0f°', round_even(price_max, 0), round_even(price_min, 0)) "
+        "AS observed_foot, strftime(day + 1, '%a, %d %b') AS predicted_day, "
+        "printf('%.0f', round_even(predicted, 0)) AS predicted_level, "
+        f"{_LABEL.format(event='score >= threshold')} AS predicted_condition, "
+        "printf('Rain score %.2f · ', round_even(score, 2)) || CASE WHEN actual_value IS NULL "
+        "THEN 'No actual data for this day' ELSE printf('Actual: %.1f°C, %.1f mm rain', "
+        "round_even(actual_value, 1), round_even(actual_amount, 1)) END AS predicted_foot "
+        "FROM decided WHERE usable)",
+        _ACTUAL,
+        sql.REQUESTS,
+        _DECIDED,
+    )
+)
+def baseline_cards(spark, sf_dir):
+    table = cards(persistence_forecast(spark, sf_dir), SPEC)
+    return comparable(table.drop("observed_style", "predicted_style", "era"))
