@@ -53,9 +53,14 @@ def forest_regressor(trees: int = 100, depth: int = 10, seed: int = 42, **params
     )
 
 
-def deep_forest_regressor() -> ModelConfig:
-    """All features at every split, deeper trees, at least 3 rows in a leaf."""
-    return forest_regressor(200, 15, minInstancesPerNode=3, featureSubsetStrategy="all")
+def deep_forest_regressor(**params) -> ModelConfig:
+    """All features at every split, deeper trees, at least 3 rows in a leaf.
+
+    Statistics of its many nodes are collected in passes of ``maxMemoryInMB`` per task; a
+    larger value than the default 256 saves passes.
+    """
+    settings = {"minInstancesPerNode": 3, "featureSubsetStrategy": "all"} | params
+    return forest_regressor(200, 15, **settings)
 
 
 def logistic(iterations: int = 100) -> ModelConfig:
@@ -109,8 +114,8 @@ def forest_classifier(
     )
 
 
-def deep_forest_classifier() -> ModelConfig:
-    return forest_classifier(200, 12, weights="balanced", minInstancesPerNode=5)
+def deep_forest_classifier(**params) -> ModelConfig:
+    return forest_classifier(200, 12, weights="balanced", **{"minInstancesPerNode": 5} | params)
 
 
 def standard_configs() -> list[ModelConfig]:
