@@ -15,6 +15,10 @@ RAIN = ("Rain", "rain")
 CLOUDY = ("Cloudy", "cloudy")
 PARTLY_CLOUDY = ("Partly cloudy", "cloudy")
 CLEAR_SKY = ("Clear sky", "sunny")
+# Words of decisions, outcomes and split tags.
+YES, NO = "YES", "NO"
+RAINY, DRY = "rainy", "dry"
+UNSEEN, SEEN = "Unseen test date", "Training date"
 
 
 def calendar_parts(day: Column) -> dict[str, Column]:
@@ -60,18 +64,16 @@ def fixed(value: Column, digits: int, signed: bool = False) -> Column:
 
 
 def yes_no(flag: Column) -> Column:
-    return F.when(flag, F.lit("YES")).otherwise(F.lit("NO"))
+    return F.when(flag, F.lit(YES)).otherwise(F.lit(NO))
 
 
 def rainy_dry(flag: Column) -> Column:
-    return F.when(flag, F.lit("rainy")).otherwise(F.lit("dry"))
+    return F.when(flag, F.lit(RAINY)).otherwise(F.lit(DRY))
 
 
 def split_tag(day: Column, last_train_year: int) -> Column:
     """Whether a day lies in the training years or in the unseen test years."""
-    return F.when(F.year(day) > last_train_year, F.lit("Unseen test date")).otherwise(
-        F.lit("Training date")
-    )
+    return F.when(F.year(day) > last_train_year, F.lit(UNSEEN)).otherwise(F.lit(SEEN))
 
 
 def any_missing(columns: Sequence[str]) -> Column:

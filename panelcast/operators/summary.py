@@ -145,7 +145,7 @@ def extent(df: DataFrame, column: str) -> DataFrame:
 
 def valid_request_range(panel: DataFrame, spec: PanelSpec) -> DataFrame:
     """First and last day a forecast can be asked for; lags need the days before."""
-    history = max(lag.rows for lag in spec.lags)
+    history = max((lag.rows for lag in spec.lags), default=0)
     return panel.agg(
         F.date_add(F.min(spec.day), history).alias("first_day"),
         F.max(spec.day).alias("last_day"),

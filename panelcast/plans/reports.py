@@ -20,7 +20,9 @@ TILES = (
     ("Rain, 7 days", "amount_total", 0, " mm"),
     ("Pressure change", "pressure_change", 1, " hPa"),
 )
+# Names of the chart's series, texts of the cards.
 HISTORY, PREDICTED, ACTUAL = "Last 14 days", "Predicted tomorrow", "Actual"
+NO_ACTUAL = "No actual data for this day"
 
 
 def date_labels(df: DataFrame, day: str) -> DataFrame:
@@ -64,7 +66,7 @@ def cards(scored: DataFrame, spec: PanelSpec) -> DataFrame:
             fixed(F.col(ACTUAL_AMOUNT), 1),
             F.lit(" mm rain"),
         ),
-    ).otherwise(F.lit("No actual data for this day"))
+    ).otherwise(F.lit(NO_ACTUAL))
     return scored.where("status = 'ok'").select(
         *spec.key,
         F.date_format(spec.day, CARD_DAY).alias("observed_day"),
@@ -134,7 +136,7 @@ def history_chart(
         F.date_add(spec.day, 1).alias("chart_day"),
         F.col("predicted").alias("value"),
     )
-    return chart.unionByName(forecast)
+    return chart.unionByName(forecast.distinct())
 
 
 def actual_vs_predicted(

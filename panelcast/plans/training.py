@@ -21,7 +21,12 @@ from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
 from panelcast.storage import fresh_path
 
+# Task and baseline names in results files.
 VALUE_TASK, FLAG_TASK = "temperature", "rain"
+SAME_VALUE = "Baseline (tomorrow = today)"
+NEVER = "Baseline (always dry)"
+SAME_FLAG = "Baseline (rain today -> rain tomorrow)"
+
 MAX_CATEGORIES = 10_000
 
 
@@ -156,9 +161,9 @@ def baseline_rows(test: DataFrame, spec: PanelSpec, digits: int | None = 3) -> D
         plain,
         spec,
         [
-            ("value", "Baseline (tomorrow = today)", "p_value"),
-            ("flag", "Baseline (always dry)", "p_none"),
-            ("flag", "Baseline (rain today -> rain tomorrow)", "p_flag"),
+            ("value", SAME_VALUE, "p_value"),
+            ("flag", NEVER, "p_none"),
+            ("flag", SAME_FLAG, "p_flag"),
         ],
         digits,
     )

@@ -19,7 +19,8 @@ def read_panel_csv(
 ) -> DataFrame:
     """CSV with a header row. The explicit schema saves the extra pass that inference costs.
 
-    With a given schema the header must name the same columns, else the read fails.
+    The header must name the measures of the spec in their order, else the read fails;
+    files with other columns can be read with ``infer``.
     """
     reader = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd")
     if infer:

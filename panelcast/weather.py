@@ -33,6 +33,8 @@ CLOUDY_PCT, PARTLY_CLOUDY_PCT = 70.0, 35.0
 LAST_TRAIN_YEAR = 2023
 YEARS_IN_ARCHIVE = 16
 
+# Columns of the statistics and the correlation report, names of the summaries,
+# lagged columns. The feature names in the spec below are fixed as well.
 BASIC_STATISTICS = (
     "temperature_2m_mean",
     "precipitation_sum",

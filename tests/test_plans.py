@@ -38,6 +38,11 @@ def test_entity_filter_goes_below_the_window(spark):
     assert plan.count(" = A)") == 1 and plan.index("Window [") < plan.index(" = A)")
 
 
+def test_bucketed_panel_needs_no_shuffle(spark):
+    plan = plan_of(entry.queries()["bucketed_feature_table"](spark, SF_DIR))
+    assert "Window [" in plan and "Exchange" not in plan
+
+
 def test_scan_reads_only_the_needed_columns(spark):
     plan = plan_of(entry.queries()["n_years"](spark, SF_DIR))
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plan

@@ -55,6 +55,15 @@ def parquet_roundtrip(spark, sf_dir):
     return comparable(time_split(back, SPEC)[1])
 
 
+@query(sql.on_features(sql.TRAINING))
+def bucketed_feature_table(spark, sf_dir):
+    """The panel stored in buckets by entity; the window then reads without a shuffle."""
+    path = fresh_path(spark, "bucketed")
+    name = "panel_" + path.rsplit("-", 1)[1]
+    writers.write_bucketed(status_panel(spark, sf_dir), name, path, SPEC, buckets=8)
+    return comparable(build_features(spark.table(name), SPEC))
+
+
 @query(_PANEL)
 def payload_explode(spark, sf_dir):
     """Payloads with parallel arrays, one per entity and year, written as JSON and read back.
