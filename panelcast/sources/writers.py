@@ -18,7 +18,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_sorted_csv(df: DataFrame, path: str, spec: PanelSpec, mode: str = "errorifexists") -> None:
+def write_sorted_csv(
+    df: DataFrame, path: str, spec: PanelSpec, mode: str = "errorifexists"
+) -> None:
     """CSV part files in (entity, day) order.
 
     A range sort on both columns: an entity with very many rows is cut by day.
@@ -58,7 +60,9 @@ def write_bucketed(
     )
 
 
-def write_per_entity(df: DataFrame, path: str, spec: PanelSpec, mode: str = "errorifexists") -> None:
+def write_per_entity(
+    df: DataFrame, path: str, spec: PanelSpec, mode: str = "errorifexists"
+) -> None:
     """One CSV folder per entity, named by the lower-cased entity.
 
     The entity column itself stays in the files. Rows are spread by (entity, year), so one

@@ -121,6 +121,13 @@ def test_forest_settings():
     assert len(names) == 4
 
 
+def test_remembering_nodes_does_not_change_the_forest(features):
+    configs = [models.forest_regressor(5, 6, cacheNodeIds=keep) for keep in (True, False)]
+    with training.training_set(features, WEATHER) as data:
+        kept, sent = [training.fit(data, c).model.stages[-1] for c in configs]
+    assert kept.toDebugString.split("\n", 1)[1] == sent.toDebugString.split("\n", 1)[1]
+
+
 def test_too_many_entities_are_refused(features, monkeypatch):
     monkeypatch.setattr(training, "MAX_CATEGORIES", 2)
     with pytest.raises(ValueError, match="more than 2 values"):
@@ -241,7 +248,8 @@ def test_chart_has_history_forecast_and_actual(spark, scored, frame):
     by_series = {}
     for r in rows:
         by_series.setdefault(r["series"], []).append(r["chart_day"])
-    assert sorted(by_series["Last 14 days"]) == [day - dt.timedelta(days=i) for i in range(13, -1, -1)]
+    fortnight = [day - dt.timedelta(days=i) for i in range(13, -1, -1)]
+    assert sorted(by_series["Last 14 days"]) == fortnight
     assert by_series["Predicted tomorrow"] == [dt.date(2023, 6, 2)]
     assert by_series["Actual"] == [dt.date(2023, 6, 2)]
 

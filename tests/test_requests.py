@@ -24,7 +24,8 @@ def test_lookup_keeps_requests_without_a_row(spark):
 def test_unknown_entities_are_counted(spark):
     panel = from_rows(spark, rows_of("A", ["2024-01-01"]))
     requests = asked(spark, ("Z", "2024-01-01"), ("Z", "2024-01-02"), ("A", "2030-01-01"))
-    assert [tuple(r) for r in ops.unknown_entities(requests, panel, WEATHER).collect()] == [("Z", 2)]
+    unknown = ops.unknown_entities(requests, panel, WEATHER)
+    assert [tuple(r) for r in unknown.collect()] == [("Z", 2)]
 
 
 def test_history_is_calendar_days_inclusive(spark):

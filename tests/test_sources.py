@@ -102,7 +102,8 @@ def test_union_and_dimension(spark):
     assert both.where("rain_sum IS NULL").select("city").first()["city"] == "Nowhere"
     dimension = readers.entity_dimension(spark, CITIES, WEATHER)
     assert dimension.count() == 10
-    rows = {r["city"]: r["lat"] for r in readers.attach_dimension(both, dimension, WEATHER).collect()}
+    placed = readers.attach_dimension(both, dimension, WEATHER)
+    rows = {r["city"]: r["lat"] for r in placed.collect()}
     assert rows == {"Delhi": 28.61, "Nowhere": None}
 
 

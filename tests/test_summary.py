@@ -97,7 +97,8 @@ def test_climatology_trend_balance(spark):
 
 
 def test_extents(spark):
-    panel = from_rows(spark, rows_of("B", ["2023-12-31", "2024-01-05"]) + rows_of("A", ["2024-01-01"]))
+    b, a = rows_of("B", ["2023-12-31", "2024-01-05"]), rows_of("A", ["2024-01-01"])
+    panel = from_rows(spark, b + a)
     first, last = summary.valid_request_range(panel, WEATHER).first()
     assert (first, last) == (dt.date(2024, 1, 2), dt.date(2024, 1, 5))
     assert summary.n_years(panel, WEATHER).first()["years"] == 2
