@@ -16,7 +16,13 @@ from panelcast.operators.baselines import always_negative, persistence_flag, per
 from panelcast.operators.features import feature_names
 from panelcast.operators.metrics import BINARY, REGRESSION, binary_columns, regression_columns
 from panelcast.operators.split import time_split, with_balanced_weight, with_class_weight
-from panelcast.plans.models import FEATURES, ModelConfig, input_names, preparation
+from panelcast.plans.models import (
+    FEATURES,
+    ModelConfig,
+    input_names,
+    preparation,
+    with_node_memory,
+)
 from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
 from panelcast.storage import fresh_path
@@ -121,7 +127,8 @@ def fit(data: TrainingSet, config: ModelConfig) -> Trained:
         rows = with_class_weight(rows, label)
     elif config.weights == "balanced":
         rows = with_balanced_weight(rows, label)
-    fitted = config.build(FEATURES, label).fit(rows)
+    estimator = with_node_memory(config.build(FEATURES, label), rows.sparkSession)
+    fitted = estimator.fit(rows)
     model = PipelineModel([*prep.stages, fitted])
     return Trained(config, model, names, time.monotonic() - started)
 
