@@ -25,7 +25,7 @@ from panelcast.plans.models import (
 )
 from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
-from panelcast.storage import fresh_path
+from panelcast.storage import ensure_checkpoints, fresh_path
 
 # Task and baseline names in results files.
 VALUE_TASK, FLAG_TASK = "temperature", "rain"
@@ -101,6 +101,7 @@ def training_set(features: DataFrame, spec: PanelSpec, centred: Iterable[bool] =
     ``features`` should be a written table, see :func:`stored_features`. The prepared rows
     are cached on memory and disk inside the block.
     """
+    ensure_checkpoints(features.sparkSession)
     numeric = feature_names(features.columns, spec)
     train, test = time_split(features, spec)
     train = _spread(train, spec)

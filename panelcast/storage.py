@@ -30,6 +30,12 @@ def _local_fallback(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"panelcast-{application_id}-")
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Give forests a place to checkpoint; one that the session has is kept."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
