@@ -33,18 +33,25 @@ def model_inputs(columns: list[str], spec: PanelSpec) -> list[str]:
 
 
 def requested_features(
-    requests: DataFrame, panel: DataFrame, spec: PanelSpec, chunk_days: int | None = None
+    requests: DataFrame,
+    panel: DataFrame,
+    spec: PanelSpec,
+    chunk_days: int | None = None,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """One row per requested (entity, day): features, the next day's actuals, ``status``.
 
     Only the requested entities go through the window. The day is not filtered below it,
     since the rows before and after belong to the frames. A day asked for many times is
-    one row here, and the status is settled on these distinct keys.
+    one row here, and the status is settled on these distinct keys. ``features`` can be a
+    stored ``scoring_features(panel, spec, actuals=True)``, which saves the window.
     """
     asked = requests.select(*spec.key).distinct()
-    wanted = requested_entities(requests, panel, spec)
     known = requested_entities(requests, panel.select(spec.entity), spec).distinct()
-    table = scoring_features(wanted, spec, actuals=True, chunk_days=chunk_days)
+    table = features
+    if table is None:
+        wanted = requested_entities(requests, panel, spec)
+        table = scoring_features(wanted, spec, actuals=True, chunk_days=chunk_days)
     complete = ~any_missing(model_inputs(table.columns, spec))
     rows = asked.join(table.withColumn("complete", complete), spec.key, "left")
     rows = rows.join(known.withColumn("known", F.lit(True)), spec.entity, "left")
@@ -135,11 +142,12 @@ def score(
     flag_model: PipelineModel,
     default_threshold: float = 0.5,
     chunk_days: int | None = None,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """One row per request with status, forecast, decision, labels and actuals.
 
     The models run once per requested (entity, day), however many requests share it.
     """
-    rows = requested_features(requests, panel, spec, chunk_days)
+    rows = requested_features(requests, panel, spec, chunk_days, features)
     forecast = apply_models(rows, value_model, flag_model)
     return decide(answer(requests, forecast, spec, default_threshold), spec)

@@ -7,7 +7,7 @@ from panels import from_rows, rows_of, to_spark, weather_frame
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from panelcast.operators.features import build_features, feature_names
+from panelcast.operators.features import build_features, feature_names, scoring_features
 from panelcast.operators.split import time_split
 from panelcast.plans import models, reports, scoring, training
 from panelcast.storage import fresh_path
@@ -226,6 +226,20 @@ def test_scores_equal_the_model_on_the_training_table(scored, features, fitted):
     assert got["predicted"] == pytest.approx(want) and got["score"] == pytest.approx(share)
 
 
+def test_stored_features_give_the_same_answers(spark, scored, frame, fitted):
+    panel = to_spark(spark, frame)
+    stored = training.stored_features(scoring_features(panel, WEATHER, actuals=True), WEATHER)
+    requests = scored.select("city", "date", "threshold")
+    again = scoring.score(
+        requests, panel, WEATHER, fitted["linear"].model, fitted["classifier"].model,
+        features=stored,
+    )
+    key = ["city", "date", "status", "predicted", "score", "decision", "actual_value"]
+    assert sorted(map(str, again.select(key).collect())) == sorted(
+        map(str, scored.select(key).collect())
+    )
+
+
 def test_default_threshold(spark, frame, fitted):
     requests = spark.createDataFrame([("A", dt.date(2024, 3, 1))], "city string, date date")
     row = scoring.score(
