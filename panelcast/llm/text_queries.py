@@ -1,8 +1,9 @@
-"""Queries op5, op9."""
+"""Queries op5, op9, op10."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelcast.llm import classifier
 from panelcast.llm.quality_rules import (
@@ -15,6 +16,8 @@ from panelcast.llm.quality_rules import (
     quality_rules,
 )
 from panelcast.llm.registry import query, table
+from panelcast.llm.substring_dedup import WINDOW as LONG_WINDOW
+from panelcast.llm.substring_dedup import dedup_substrings
 
 
 def quality_sql(documents: str = "documents") -> str:
@@ -100,3 +103,35 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = classifier.fit(docs, labels)
     rows = docs.select("doc_id", "text", classifier.is_held_out().alias("held_out"))
     return classifier.score(rows, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def substring_sql(documents: str = "documents") -> str:
+    """CTEs ending in `cut`: every row of `documents` with its words and the kept ones."""
+    return rf"""
+    worded AS (
+        SELECT row_number() OVER () AS rid, *,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM {documents}),
+    long_windows AS (
+        SELECT rid, doc_id, i, md5(array_to_string(words[i:i + {LONG_WINDOW - 1}], ' ')) AS w
+        FROM (SELECT *, unnest(range(1, len(words) - {LONG_WINDOW - 2})) AS i FROM worded
+              WHERE len(words) >= {LONG_WINDOW})),
+    earliest AS (SELECT w, min(doc_id) AS least FROM long_windows GROUP BY w),
+    covered AS (
+        SELECT DISTINCT rid, i + k AS i
+        FROM long_windows JOIN earliest USING (w), range(0, {LONG_WINDOW}) AS t(k)
+        WHERE least < doc_id),
+    places AS (SELECT rid, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM worded),
+    left_over AS (
+        SELECT rid, count(*) AS n_kept, string_agg(word, ' ' ORDER BY i) AS kept_text
+        FROM places ANTI JOIN covered USING (rid, i) GROUP BY rid),
+    cut AS (
+        SELECT w.* EXCLUDE (words), len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed,
+               coalesce(kept_text, '') AS kept_text
+        FROM worded AS w LEFT JOIN left_over USING (rid))"""
+
+
+@query(f"WITH {substring_sql()} SELECT doc_id, n_words, n_removed, sha256(kept_text) AS kept_sha256 FROM cut")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
