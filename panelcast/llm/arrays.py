@@ -1,7 +1,7 @@
 """Word positions and word hashes of whole text columns, as numpy arrays.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return. Texts are handled in blocks of a few megabytes, so memory follows the block
+carriage return. Texts are handled in blocks of about two megabytes, so memory follows the block
 (or the longest single text), not the batch or the partition.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SPACES = [9, 10, 11, 12, 13, 32]
 
 

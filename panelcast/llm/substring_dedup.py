@@ -7,8 +7,8 @@ of equal words meet. In a bucket the windows are sorted, and each run of equal o
 least document that has it.
 
 Hot minimisers (of a passage that many documents share) would fill one bucket with strings
-that differ only at their ends. They are counted first; their windows travel one by one to
-the bucket of their own hash. The set of hot minimisers is a bitmap of fixed size: a chance
+that differ only at their ends. Strings are counted per minimiser first, equal ones of a batch
+once; the windows of a hot minimiser travel one by one to the bucket of their own hash. The set of hot minimisers is a bitmap of fixed size: a chance
 hit in it merely deals a minimiser's windows in that finer way, the result is the same. Equal
 strings of a task are sent once, with the places where they occur.
 """
@@ -35,62 +35,67 @@ from panelcast.llm.arrays import (
 
 WINDOW = 50
 GRAM = 5
-#: A minimiser with more super-k-mers than this is dealt out window by window.
-HOT_RUNS = 1024
+#: A minimiser with more strings than this is dealt out window by window.
+HOT_STRINGS = 1024
 BITMAP_BITS = 1 << 22
-#: Super-k-mers of a bucket, on average; the number of buckets follows the input.
-BUCKET_RUNS = 20_000
+#: Strings of a bucket, on average; the number of buckets follows the input.
+BUCKET_STRINGS = 8_000
 LEAST_BUCKETS = 128
 FLUSH_BYTES = 24 << 20
 SECOND = 0xC2B2AE3D27D4EB4F
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None):
-    """Super-k-mers: text, first word, end word (in the block), key; and the words' places.
+    """Super-k-mers: text, first word, end word (in the block), key, name; the words' places.
 
     Without `hot` the key is the minimiser; with it, windows of hot minimisers are apart and
-    have a key of their own.
+    have a key of their own. Equal names mean equal strings.
     """
     starts, ends, word_offsets = find_words(data, offsets)
     first, text = window_starts(word_offsets, WINDOW)
     if not len(first):
-        none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), (starts, ends, word_offsets)
+        none, keys = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return none, none, none, keys, keys, (starts, ends, word_offsets)
     words = hash_words(data, starts, ends)
     least = sliding_min(window_hash(words, GRAM), WINDOW - GRAM + 1)[first]
+    windows = window_hash(words, WINDOW)[first]
     key, own = least, np.zeros(len(first), bool)
     if hot is not None:
         slot = (least % np.uint64(BITMAP_BITS)).astype(np.int64)
         own = (hot[slot >> 3] >> (slot & 7) & 1).astype(bool)
-        key = np.where(own, splitmix(window_hash(words, WINDOW)[first]), least)
+        key = np.where(own, splitmix(windows), least)
     begin = np.ones(len(first), bool)
     begin[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | own[1:]
     at = np.flatnonzero(begin)
     last = np.append(at[1:], len(first)) - 1
-    return text[at], first[at], first[last] + WINDOW, key[at], (starts, ends, word_offsets)
+    # A string is at most 95 words long: its first and last window hold it whole.
+    name = splitmix(windows[at] + splitmix(windows[last] + (last - at).astype(np.uint64)))
+    return text[at], first[at], first[last] + WINDOW, key[at], name, (starts, ends, word_offsets)
 
 
 def _minimisers(batches):
-    """Number of super-k-mers per minimiser, within a batch."""
+    """Number of distinct super-k-mers per minimiser, within a batch."""
     for batch in batches:
-        keys = [_runs(data, at, None)[3] for _, _, data, at in text_blocks(batch.column("text"))]
-        keys, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_counts=True)
+        found = [_runs(data, at, None)[3:5] for _, _, data, at in text_blocks(batch.column("text"))]
+        keys, names = (np.concatenate([np.zeros(0, np.uint64), *(x[i] for x in found)]) for i in (0, 1))
+        keys = keys[np.unique(names, return_index=True)[1]]
+        keys, counts = np.unique(keys, return_counts=True)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), pa.array(counts)], ["minimiser", "runs"]
+            [pa.array(keys.view(np.int64)), pa.array(counts)], ["minimiser", "strings"]
         )
 
 
 def hot_minimisers(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Bitmap of the slots of hot minimisers, and the number of super-k-mers of the table."""
+    """Bitmap of the slots of hot minimisers, and the number of strings of the table."""
     seen = Observation()
-    counts = docs.mapInArrow(_minimisers, "minimiser long, runs long")
-    counts = counts.observe(seen, F.sum("runs").alias("runs"))
+    counts = docs.mapInArrow(_minimisers, "minimiser long, strings long")
+    counts = counts.observe(seen, F.sum("strings").alias("strings"))
     # The bitmap functions count positions from 1.
     at = (F.pmod("minimiser", F.lit(BITMAP_BITS)) + 1).alias("at")
     parts = (
         counts.groupBy("minimiser")
-        .agg(F.sum("runs").alias("runs"))
-        .where(F.col("runs") > HOT_RUNS)
+        .agg(F.sum("strings").alias("strings"))
+        .where(F.col("strings") > HOT_STRINGS)
         .select(at)
         .groupBy(F.expr("bitmap_bucket_number(at)").alias("part"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
@@ -99,7 +104,7 @@ def hot_minimisers(docs: DataFrame) -> tuple[np.ndarray, int]:
     bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
     for row in parts:
         bitmap[(row.part - 1) * 4096 : row.part * 4096] |= np.frombuffer(row.bits, np.uint8)
-    return bitmap, seen.get["runs"] or 0
+    return bitmap, seen.get["strings"] or 0
 
 
 class _Parcel:
@@ -138,7 +143,7 @@ def _dealer(hot, buckets: int):
         for batch in batches:
             ids = np.stack([batch.column(n).to_numpy() for n in ("doc_id", "text_key")], axis=1)
             for first, end, data, offsets in text_blocks(batch.column("text")):
-                text, begin, stop, keys, (starts, ends, word_offsets) = _runs(data, offsets, hot.value)
+                text, begin, stop, keys, _, (starts, ends, word_offsets) = _runs(data, offsets, hot.value)
                 base = sum(map(len, rows))
                 rows.append(ids[first:end])
                 spaced, at, lengths = _spaced(data, starts, ends)
@@ -236,9 +241,9 @@ def _repeats(key, table):
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, first, end): word ranges covered by windows of smaller documents.
     `docs` has doc_id, text_key and text, without nulls."""
-    bitmap, runs = hot_minimisers(docs)
+    bitmap, strings = hot_minimisers(docs)
     hot = docs.sparkSession.sparkContext.broadcast(bitmap)
-    buckets = max(LEAST_BUCKETS, -(-runs // BUCKET_RUNS))
+    buckets = max(LEAST_BUCKETS, -(-strings // BUCKET_STRINGS))
     parcels = docs.mapInArrow(
         _dealer(hot, buckets), "bucket long, strings binary, places binary, docs binary"
     )
