@@ -1,4 +1,4 @@
-"""Queries op5, op9, op10."""
+"""Queries op5, op8, op9, op10."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm import classifier
+from panelcast.llm.near_dedup import near_duplicates
 from panelcast.llm.quality_rules import (
     MAX_REPEAT_PCT,
     MEASURES,
@@ -135,3 +136,8 @@ def substring_sql(documents: str = "documents") -> str:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
