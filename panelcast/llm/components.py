@@ -5,44 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.storage import checkpointed
-
-JUMPS = 3
+from panelcast.llm.storage import stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (columns a, b); component is the least node
     connected with it.
 
-    Each round ranks nodes by a new hash and maps each to the least neighbour by rank, itself
-    included, then follows these maps a few times; edges within a mapped group disappear. An
-    expected constant share of the nodes goes in every round. Rounds work on narrow tables
-    that are checkpointed, and only their sizes reach the driver.
+    Each round ranks nodes by degree (ties by a hash that changes with the round) and maps each
+    to the first of its neighbours and itself; then these maps are followed twice. Stars
+    vanish at once, and of any graph an expected constant share of the nodes. A round writes
+    two narrow tables; only whether edges are left reaches the driver.
     """
-    live = checkpointed(edges.select("a", "b").where("a <> b").distinct())
-    nodes = live.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    state = checkpointed(nodes.withColumn("root", F.col("node")))
+    live = stored(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    state = live.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    state = state.withColumn("root", F.col("node"))
     step = 0
     while not live.isEmpty():
         step += 1
-        rank = [F.xxhash64(F.lit(step), F.col(c)) for c in ("x", "y")]
-        both = live.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
-            live.select(F.col("b").alias("x"), F.col("a").alias("y"))
+        both = live.select(F.explode(F.expr("array(struct(a AS x, b AS y), struct(b AS x, a AS y))")).alias("e"))
+        both = both.select("e.x", "e.y")
+        degrees = both.groupBy("x").agg(F.count("*").alias("d"))
+        order = F.struct((-F.col("d")).alias("d"), F.xxhash64(F.lit(step), "x").alias("h"), F.col("x").alias("id"))
+        ranked = degrees.select("x", order.alias("rank"))
+        best = (
+            both.join(ranked.select(F.col("x").alias("y"), "rank"), "y")
+            .groupBy("x")
+            .agg(F.min("rank").alias("best"))
+            .join(ranked, "x")
+            .select("x", F.least("best", "rank").getField("id").alias("to"))
         )
-        best = both.groupBy("x").agg(F.min(F.struct(rank[1].alias("r"), F.col("y").alias("y"))).alias("m"))
-        # A node ranked below all its neighbours stays; chains of maps descend in rank.
-        maps = checkpointed(best.select("x", F.when(F.col("m.r") < rank[0], F.col("m.y")).otherwise(F.col("x")).alias("to")))
-        for _ in range(JUMPS):
+        maps = stored(best, "maps")
+        for _ in range(2):
             further = maps.select(F.col("x").alias("to"), F.col("to").alias("next"))
             maps = maps.join(further, "to").select("x", F.col("next").alias("to"))
-        maps = checkpointed(maps)
         for side in ("a", "b"):
             live = live.join(maps.withColumnRenamed("x", side), side).drop(side).withColumnRenamed("to", side)
-        live = checkpointed(live.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        state = checkpointed(
-            state.join(maps.withColumnRenamed("x", "root"), "root", "left").select(
-                "node", F.coalesce("to", "root").alias("root")
-            )
+        pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        live = stored(live.where("a <> b").select(*pair).distinct(), "edges")
+        state = state.join(maps.withColumnRenamed("x", "root"), "root", "left").select(
+            "node", F.coalesce("to", "root").alias("root")
         )
+    if step:
+        state = stored(state, "roots")
     least = state.groupBy("root").agg(F.min("node").alias("component"))
     return state.join(least, "root").select("node", "component")

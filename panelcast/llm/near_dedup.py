@@ -10,8 +10,10 @@ Improved consistent weighted sampling draws `BANDS * ROWS` samples (k, t) of eac
 agree in a sample with a probability equal to their weighted Jaccard similarity. Samples are
 joined to `BANDS` keys. Texts that share a key are compared with one of their bucket, the
 pivot: the text whose keys are shared by most others. Exact weighted similarities decide.
-Texts of a bucket that are then still in different components are compared again, unless the
-triangle inequality (1 - similarity is a metric) or an earlier comparison excludes a link.
+Buckets whose texts are then in different components (a passage that thousands of otherwise
+different texts share makes such) are not compared pair by pair. Their texts go through an
+exact prefix filter: with shingles ordered from rare to frequent, two texts of similarity 0.8
+share one within the first fifth of the weight of each.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.arrays import find_words, hash_words, splitmix, text_blocks, window_hash
 from panelcast.llm.components import components
-from panelcast.llm.storage import checkpointed, stored
+from panelcast.llm.storage import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -31,8 +33,8 @@ BANDS, ROWS = 12, 4
 IDF_SLOTS = 1 << 18
 #: The table of slots is added up in pieces of this many.
 PIECE = 1 << 12
-#: Rounds in which a bucket is compared with a pivot, before the pairs that are left.
-PIVOT_ROUNDS = 2
+#: Slots of the table that orders shingles by frequency; a collision costs only time.
+ORDER_SLOTS = 1 << 20
 SAMPLE_BLOCK = 1 << 15
 
 
@@ -44,24 +46,26 @@ def _slots(data: np.ndarray, offsets: np.ndarray):
     return hash_words(data, starts, ends), word_offsets
 
 
-def _slot_frequencies(batches):
-    total, rows = np.zeros(IDF_SLOTS, np.int64), 0
-    for batch in batches:
-        rows += batch.num_rows
-        for _, _, data, offsets in text_blocks(batch.column("text")):
-            words, word_offsets = _slots(data, offsets)
-            text = np.repeat(np.arange(len(offsets) - 1), np.diff(word_offsets))
-            own = np.unique(text * IDF_SLOTS + (words % np.uint64(IDF_SLOTS)).astype(np.int64))
-            total += np.bincount(own % IDF_SLOTS, minlength=IDF_SLOTS)
-    pieces = total.reshape(-1, PIECE)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(range(len(pieces)), pa.int32()),
-            pa.array([rows] * len(pieces), pa.int64()),
-            pa.array([x.tobytes() for x in pieces], pa.binary()),
-        ],
-        ["piece", "rows", "counts"],
-    )
+def _frequencies(slots_of, size: int):
+    """Counts of `size` slots over a task's batches, as rows of `PIECE` slots."""
+
+    def run(batches):
+        total, rows = np.zeros(size, np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for _, _, data, offsets in text_blocks(batch.column("text")):
+                total += np.bincount(slots_of(data, offsets), minlength=size)
+        pieces = total.reshape(-1, PIECE)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(range(len(pieces)), pa.int32()),
+                pa.array([rows] * len(pieces), pa.int64()),
+                pa.array([x.tobytes() for x in pieces], pa.binary()),
+            ],
+            ["piece", "rows", "counts"],
+        )
+
+    return run
 
 
 def _add_pieces(key, table):
@@ -72,15 +76,27 @@ def _add_pieces(key, table):
     )
 
 
-def word_idf(docs: DataFrame) -> np.ndarray:
-    """1 + ln((1 + documents) / (1 + document frequency)) of every slot: a table of 1 MB."""
+def _counted(docs: DataFrame, slots_of, size: int) -> tuple[np.ndarray, int]:
+    """Counts of all slots and the number of texts; a table of fixed size."""
     schema = "piece int, rows long, counts binary"
-    pieces = docs.select("text").mapInArrow(_slot_frequencies, schema)
+    pieces = docs.select("text").mapInArrow(_frequencies(slots_of, size), schema)
     found = sorted(pieces.groupBy("piece").applyInArrow(_add_pieces, schema).collect())
     if not found:
-        return np.ones(IDF_SLOTS, np.float32)
-    counts = np.concatenate([np.frombuffer(r.counts, np.int64) for r in found])
-    return (1 + np.log((1 + found[0].rows) / (1 + counts))).astype(np.float32)
+        return np.zeros(size, np.int64), 0
+    return np.concatenate([np.frombuffer(r.counts, np.int64) for r in found]), found[0].rows
+
+
+def _document_slots(data, offsets) -> np.ndarray:
+    words, word_offsets = _slots(data, offsets)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(word_offsets))
+    slots = (words % np.uint64(IDF_SLOTS)).astype(np.int64)
+    return np.unique(text * IDF_SLOTS + slots) % IDF_SLOTS
+
+
+def word_idf(docs: DataFrame) -> np.ndarray:
+    """1 + ln((1 + documents) / (1 + document frequency)) of every slot: a table of 1 MB."""
+    counts, rows = _counted(docs, _document_slots, IDF_SLOTS)
+    return (1 + np.log((1 + rows) / (1 + counts))).astype(np.float32)
 
 
 # Shingles and samples.
@@ -234,9 +250,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = left.join(right, "b").select("a", "b", "text", "text_b")
     found = rows.mapInArrow(_verifier(idf), "a long, b long, similarity double")
-    return checkpointed(
-        found.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), "similarity")
-    )
+    pair = (F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    return stored(found.select(*pair, "similarity"), "compared")
 
 
 def _linked(compared: DataFrame) -> DataFrame:
@@ -244,61 +259,92 @@ def _linked(compared: DataFrame) -> DataFrame:
     return components(near.select(F.col("lo").alias("a"), F.col("hi").alias("b")))
 
 
-def _with_similarity(state: DataFrame, compared: DataFrame, step: int) -> DataFrame:
-    """`state` with the similarity of its nodes to the pivots of this step, where known."""
-    known = compared.select("lo", "hi", F.col("similarity").alias(f"s{step}"))
-    pair = [F.least("node", f"p{step}").alias("lo"), F.greatest("node", f"p{step}").alias("hi")]
-    return state.select("*", *pair).join(known, ["lo", "hi"], "left").drop("lo", "hi")
-
-
-def links(texts: DataFrame, buckets: DataFrame, idf) -> DataFrame:
-    """(lo, hi, similarity) of the texts compared. `texts`: node, text; `buckets`: key, node, of
-    keys that at least two nodes have."""
+def linked(texts: DataFrame, buckets: DataFrame, idf) -> DataFrame:
+    """(node, component) of the texts that have links. `texts`: node, text; `buckets`: key,
+    node, of keys that at least two nodes have."""
     sizes = buckets.groupBy("key").agg(F.count("*").alias("size"))
     degrees = buckets.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("degree"))
-    state = buckets.join(degrees, "node").select("key", "node", "degree", F.col("node").alias("component"))
-    state, compared = checkpointed(state), None
-    for step in range(PIVOT_ROUNDS):
-        untried = state.where(" AND ".join([f"node <> p{k}" for k in range(step)]) or "true")
-        best = untried.groupBy("key").agg(
-            F.max(F.struct("degree", (-F.col("node")).alias("n"), "component")).alias("m")
-        )
-        pivots = best.select("key", (-F.col("m.n")).alias(f"p{step}"), F.col("m.component").alias("home"))
-        state = checkpointed(state.join(pivots, "key"))
-        pairs = state.where(f"node <> p{step} AND component <> home").select(
-            F.col("node").alias("a"), F.col(f"p{step}").alias("b")
-        )
-        if compared is None:
-            compared = _verified(pairs, texts, idf)
-        else:
-            new = pairs.select("*", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-            found = _verified(new.join(compared, ["lo", "hi"], "left_anti"), texts, idf)
-            compared = checkpointed(compared.unionByName(found))
-        state = _with_similarity(state.drop("component", "home"), compared, step)
-        state = checkpointed(
-            state.join(_linked(compared).withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left")
-            .withColumn("component", F.coalesce("component", "node"))
-            .drop("n")
-        )
-        split = state.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        state = checkpointed(state.join(split.where("x < y").select("key"), "key", "left_semi"))
-        if state.isEmpty():
-            return compared
-    # What is left: pairs of one bucket in different components that no pivot excludes.
-    x, y = state.alias("x"), state.alias("y")
-    apart = F.lit(False)
-    for step in range(PIVOT_ROUNDS):
-        gap = F.abs(F.col(f"x.s{step}") - F.col(f"y.s{step}"))
-        apart |= F.coalesce(gap > 1 - SIMILARITY + 1e-9, F.lit(False))
-    rest = (
-        x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")))
-        .where((F.col("x.component") != F.col("y.component")) & ~apart)
-        .select(F.col("x.node").alias("lo"), F.col("y.node").alias("hi"))
+    best = (
+        buckets.join(degrees, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("degree", (-F.col("node")).alias("n"))).alias("m"))
+    )
+    pairs = buckets.join(best.select("key", (-F.col("m.n")).alias("pivot")), "key").where("node <> pivot")
+    compared = _verified(pairs.select(F.col("node").alias("a"), F.col("pivot").alias("b")), texts, idf)
+    joined = stored(_linked(compared), "linked")
+    known = buckets.join(joined, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
+    )
+    split = known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = known.join(split.where("lo < hi").select("key"), "key", "left_semi").select("node", "component")
+    pairs = _prefix_pairs(texts.join(mixed.distinct(), "node"), idf)
+    more = _verified(pairs.join(compared, ["lo", "hi"], "left_anti"), texts, idf)
+    if more.where(F.col("similarity") >= SIMILARITY).isEmpty():
+        return joined
+    return _linked(compared.unionByName(more))
+
+
+def _shingle_slots(idf):
+    def slots(data, offsets):
+        return (shingles(data, offsets, idf.value)[1] % np.uint64(ORDER_SLOTS)).astype(np.int64)
+
+    return slots
+
+
+def _prefixes(idf, frequency):
+    def run(batches):
+        for batch in batches:
+            nodes, groups = batch.column("node").to_numpy(), batch.column("component").to_numpy()
+            out = []
+            for first, _, data, offsets in text_blocks(batch.column("text")):
+                edges, names, weights = shingles(data, offsets, idf.value)
+                often = frequency.value[(names % np.uint64(ORDER_SLOTS)).astype(np.int64)]
+                text = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+                order = np.lexsort((names, often, text))
+                upto = np.concatenate([[0], np.cumsum(weights[order])])
+                totals = upto[edges[1:]] - upto[edges[:-1]]
+                before = upto[:-1] - upto[edges[:-1]][text]
+                inside = before <= (1 - SIMILARITY) * totals[text] * (1 + 1e-9)
+                own = text[inside]
+                rest = totals[own] - before[inside]
+                name = names[order][inside].view(np.int64)
+                out.append((name, nodes[first + own], groups[first + own], totals[own], rest))
+            kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([x[i] for x in out]) if out else [], k) for i, k in enumerate(kinds)],
+                ["shingle", "node", "component", "total", "rest"],
+            )
+
+    return run
+
+
+def _prefix_pairs(open_texts: DataFrame, idf) -> DataFrame:
+    """Pairs (a, b, lo, hi) of different components that may reach `SIMILARITY`.
+
+    A text's prefix ends where the weight before a shingle exceeds a fifth of the whole: were
+    the first common shingle of two texts beyond it, less than 0.8 of the weight would be
+    common. The common weight is at most what is left of either text from its first common
+    shingle on, and a similarity of s needs s / (1 + s) of both weights together.
+    """
+    open_texts = stored(open_texts, "near-open")
+    context = open_texts.sparkSession.sparkContext
+    frequency = context.broadcast(_counted(open_texts, _shingle_slots(idf), ORDER_SLOTS)[0].astype(np.int32))
+    rows = open_texts.select("node", "component", "text").mapInArrow(
+        _prefixes(idf, frequency), "shingle long, node long, component long, total double, rest double"
+    )
+    rows = stored(rows, "near-prefixes")
+    mixed = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    rows = rows.join(mixed.where("lo < hi").select("shingle"), "shingle", "left_semi")
+    other = rows.select("shingle", F.col("node").alias("b"), F.col("component").alias("c"), F.col("total").alias("t"), F.col("rest").alias("r"))
+    need = SIMILARITY / (1 + SIMILARITY) * (1 - 1e-9) * (F.col("total") + F.col("t"))
+    enough = F.least("rest", "r") >= need
+    return (
+        rows.withColumnRenamed("node", "a")
+        .join(other, "shingle")
+        .where((F.col("a") > F.col("b")) & (F.col("component") != F.col("c")) & enough)
+        .select("a", "b", F.col("b").alias("lo"), F.col("a").alias("hi"))
         .distinct()
-        .join(compared, ["lo", "hi"], "left_anti")
-        .select(F.col("hi").alias("a"), F.col("lo").alias("b"))
     )
-    return checkpointed(compared.unionByName(_verified(rest, texts, idf)))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -316,18 +362,19 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     sampled = docs.mapInArrow(_sampler(idf), "doc_id long, digest string, keys array<long>")
     rows = stored(sampled, "near-samples")
     # One node per text: copies share the digest and all keys.
-    distinct = checkpointed(
+    distinct = (
         rows.where("keys IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("digest")
         .agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
     )
+    distinct = stored(distinct, "near-nodes")
     spread = distinct.select("node", F.explode("keys").alias("key")).distinct()
     shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = checkpointed(spread.join(shared, "key", "left_semi"))
+    buckets = stored(spread.join(shared, "key", "left_semi"), "near-buckets")
     wanted = distinct.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("digest").alias("_d"))
     texts = docs.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("_d")))
     texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
-    joined = _linked(links(texts, buckets, idf))
+    joined = linked(texts, buckets, idf)
     classes = distinct.join(joined, "node", "left").select(
         F.col("digest").alias("_digest"), F.coalesce("component", "node").alias("class_id")
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.llm.arrays import find_words, text_blocks, window_starts
-from panelcast.llm.storage import checkpointed, stored
+from panelcast.llm.storage import stored
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -224,6 +224,5 @@ def quality_rules(df: DataFrame, text: str = "text", keep: list[str] | None = No
     the verdicts need them."""
     keep = keep or ["doc_id"]
     extra = [c for c in ("lang", "source") if c not in keep]
-    counts = base_counts(df, text, keep + extra)
-    counts = stored(counts, "quality") if text in keep else checkpointed(counts)
+    counts = stored(base_counts(df, text, keep + extra), "quality")
     return judged(counts).drop(*extra)

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from panelcast.storage import ensure_checkpoints, shared_dir, fresh_path
-
-__all__ = ["checkpointed", "fresh_path", "scratch_path", "shared_dir", "stored"]
+from panelcast.storage import fresh_path
 
 
 def scratch_path(spark, name: str) -> str:
@@ -16,13 +14,8 @@ def scratch_path(spark, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once as Parquet and read it again: for wide rows that are used repeatedly."""
+    """Write `df` once as Parquet and read it again. This cuts the lineage as a checkpoint does,
+    in one job instead of two."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint: for narrow rows. Spark deletes it with the last reference."""
-    ensure_checkpoints(df.sparkSession)
-    return df.checkpoint()
