@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.llm.arrays import find_words, text_blocks, window_starts
+from panelcast.llm.columns import unused
 from panelcast.llm.storage import stored
 
 WINDOW = 8
@@ -183,37 +184,30 @@ def judged(counts: DataFrame, lang: str = "lang", source: str = "source") -> Dat
     Null languages and sources are groups of their own. A text is kept if it passes the base
     rules and every limit; limits hold themselves, so a group of equal texts is kept.
     """
+    own_lang, own_source, own = unused(counts, "_lang", "_source", "_limits")
     found = limits(counts, lang, source)
-    own = (
+    of_language = found.where("level = 1").select(F.col("lang").alias("l"), F.col("limits").alias("of_language"))
+    chosen = (
         found.where("level = 0")
-        .select("lang", "source", "total", "limits")
-        .join(
-            found.where("level = 1").select(
-                F.col("lang").alias("_l"), F.col("limits").alias("_ll")
-            ),
-            F.col("lang").eqNullSafe(F.col("_l")),
-            "left",
-        )
+        .join(of_language, F.col("lang").eqNullSafe(F.col("l")), "left")
         .select(
-            F.col("lang").alias("_lang"),
-            F.col("source").alias("_source"),
-            F.when(F.col("total") >= MIN_GROUP, F.col("limits"))
-            .otherwise(F.col("_ll"))
-            .alias("_limits"),
+            F.col("lang").alias(own_lang),
+            F.col("source").alias(own_source),
+            F.when(F.col("total") >= MIN_GROUP, F.col("limits")).otherwise(F.col("of_language")).alias(own),
         )
     )
-    same = F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source"))
+    same = F.col(lang).eqNullSafe(F.col(own_lang)) & F.col(source).eqNullSafe(F.col(own_source))
     passes = ~base_failed()
     for m, (_, _, _, both) in MEASURES.items():
-        passes &= _value(m) <= F.col(f"_limits.{m}_max")
+        passes &= _value(m) <= F.col(f"{own}.{m}_max")
         if both:
-            passes &= _value(m) >= F.col(f"_limits.{m}_min")
+            passes &= _value(m) >= F.col(f"{own}.{m}_min")
     # Without limits every text of the group failed the base rules.
     return (
-        counts.join(own, same, "left")
+        counts.join(chosen, same, "left")
         .withColumn("base_failed", base_failed())
         .withColumn("kept", F.coalesce(passes, F.lit(False)))
-        .drop("_lang", "_source", "_limits")
+        .drop(own_lang, own_source, own)
     )
 
 

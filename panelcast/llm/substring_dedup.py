@@ -32,6 +32,7 @@ from panelcast.llm.arrays import (
     window_starts,
     word_bytes,
 )
+from panelcast.llm.columns import unused
 
 WINDOW = 50
 GRAM = 5
@@ -252,10 +253,10 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     )
 
 
-def _cutter(text: str, keep: list[str]):
+def _cutter(text: str, keep: list[str], found: str):
     def run(batches):
         for batch in batches:
-            ranges = batch.column("_ranges")
+            ranges = batch.column(found)
             counts = np.diff(ranges.offsets.to_numpy())
             flat = ranges.flatten()
             first, end = (flat.field(i).to_numpy() for i in (0, 1))
@@ -296,22 +297,23 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Every word covered by a window whose words also start in a document of smaller `doc_id`
     is removed. Rows of one doc_id belong to one document and don't remove from each other.
     A null text has no words; a row without doc_id is left whole. Columns named like an
-    output or with a leading underscore of this operator's own are replaced.
+    output are replaced.
     """
     made = ("n_words", "n_removed", "kept_text")
     keep = [c for c in df.columns if c not in made]
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")
     ).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    own_id, own_key, key, found = unused(df, "_id", "_key", "_text_key", "_ranges")
     ranges = (
         repeated_ranges(docs)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-        .agg(F.collect_list(F.struct("first", "end")).alias("_ranges"))
+        .groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
+        .agg(F.collect_list(F.struct("first", "end")).alias(found))
     )
-    rows = df.select(*keep).withColumn("_text_key", F.xxhash64(text))
-    joined = rows.join(
-        ranges, (F.col(doc_id).cast("long") == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left"
-    ).withColumn("_ranges", F.coalesce("_ranges", F.expr("cast(array() AS array<struct<first:long,end:long>>)")))
+    rows = df.select(*keep).withColumn(key, F.xxhash64(text))
+    same = (F.col(doc_id).cast("long") == F.col(own_id)) & (F.col(key) == F.col(own_key))
+    none = F.expr("cast(array() AS array<struct<first:long,end:long>>)")
+    joined = rows.join(ranges, same, "left").withColumn(found, F.coalesce(found, none))
     schema = T.StructType([df.schema[c] for c in keep])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return joined.drop("_id", "_key", "_text_key").mapInArrow(_cutter(text, keep), schema)
+    return joined.drop(own_id, own_key, key).mapInArrow(_cutter(text, keep, found), schema)
