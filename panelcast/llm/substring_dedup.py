@@ -18,7 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,8 +39,9 @@ GRAM = 5
 #: A minimiser with more strings than this is dealt out window by window.
 HOT_STRINGS = 1024
 BITMAP_BITS = 1 << 22
-#: Strings of a bucket, on average; the number of buckets follows the input.
-BUCKET_STRINGS = 8_000
+#: Text of a bucket, on average (about three times as much in strings); the number of buckets
+#: follows the input.
+BUCKET_BYTES = 1 << 20
 LEAST_BUCKETS = 128
 FLUSH_BYTES = 24 << 20
 SECOND = 0xC2B2AE3D27D4EB4F
@@ -86,11 +87,9 @@ def _minimisers(batches):
         )
 
 
-def hot_minimisers(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Bitmap of the slots of hot minimisers, and the number of strings of the table."""
-    seen = Observation()
+def hot_minimisers(docs: DataFrame) -> np.ndarray:
+    """Bitmap of the slots of hot minimisers."""
     counts = docs.mapInArrow(_minimisers, "minimiser long, strings long")
-    counts = counts.observe(seen, F.sum("strings").alias("strings"))
     # The bitmap functions count positions from 1.
     at = (F.pmod("minimiser", F.lit(BITMAP_BITS)) + 1).alias("at")
     parts = (
@@ -105,7 +104,7 @@ def hot_minimisers(docs: DataFrame) -> tuple[np.ndarray, int]:
     bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
     for row in parts:
         bitmap[(row.part - 1) * 4096 : row.part * 4096] |= np.frombuffer(row.bits, np.uint8)
-    return bitmap, seen.get["strings"] or 0
+    return bitmap
 
 
 class _Parcel:
@@ -242,9 +241,9 @@ def _repeats(key, table):
 def repeated_ranges(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, first, end): word ranges covered by windows of smaller documents.
     `docs` has doc_id, text_key and text, without nulls."""
-    bitmap, strings = hot_minimisers(docs)
-    hot = docs.sparkSession.sparkContext.broadcast(bitmap)
-    buckets = max(LEAST_BUCKETS, -(-strings // BUCKET_STRINGS))
+    hot = docs.sparkSession.sparkContext.broadcast(hot_minimisers(docs))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     parcels = docs.mapInArrow(
         _dealer(hot, buckets), "bucket long, strings binary, places binary, docs binary"
     )
