@@ -1,7 +1,8 @@
 """Operators for preparing training text.
 
-Functions that run inside tasks are shipped with the job (pickled by value), so executors
-need numpy, pyarrow and the tokenizer files, but not this package.
+Functions that run inside tasks are pickled by value, so tasks work wherever the driver was
+started. Broadcast encoders and models are objects of this package: on a cluster it must be on
+the executors' path (PYTHONPATH or spark.submit.pyFiles), as numpy and pyarrow are.
 """
 
 import sys

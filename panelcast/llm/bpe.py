@@ -145,14 +145,20 @@ class Transducer:
 
 class Encoder:
     """Ids of whole texts. Texts are cut at single spaces between other characters, where no
-    match of the pattern can pass; the ids of the parts are kept while there is room."""
+    match of the pattern can pass; the ids of the parts are kept while there is room. As a
+    broadcast value it is made once per Python worker, whose later tasks find what earlier
+    ones have learnt."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.source = (ranks, pattern)
         self.edge = regex.compile(r"(?<=\S) (?=\S)")
         self.odd = regex.compile(r"\s | \s|^ | $")
 
+    def __reduce__(self):
+        return Encoder, self.source
+
     def part(self, text: str) -> bytes:
         """Ids of the text between two cuts: one or several matches of the pattern."""
         if text.isascii() and text[1:].isalpha() and text[0] == " ":
@@ -215,17 +221,14 @@ class Utf8Stream:
         return rest.decode("utf-8", self.errors)
 
 
-def _mapped(df: DataFrame, name: str, kind, made) -> DataFrame:
-    """`df` with column `name` (replaced if there) from `made()`, called once per task, which
-    gives a function from a batch to an array."""
+def _mapped(df: DataFrame, name: str, kind, function) -> DataFrame:
+    """`df` with column `name` (replaced if there), which `function` makes from a batch."""
     keep = [c for c in df.columns if c != name]
 
     def run(batches):
-        function = made()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), function(batch)], [*keep, name]
-            )
+            columns = [*(batch.column(c) for c in keep), function(batch)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, name])
 
     schema = T.StructType([df.schema[c] for c in keep]).add(name, kind)
     return df.mapInArrow(run, schema)
@@ -233,33 +236,28 @@ def _mapped(df: DataFrame, name: str, kind, made) -> DataFrame:
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """`df` with column `ids`: the tokens of each whole text, packed as little-endian unsigned
-    32-bit integers. Null texts are empty. `ranks_path` is read by every task."""
+    32-bit integers. Null texts are empty. The driver reads the ranks and broadcasts them."""
+    encoder = df.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
 
-    def made():
-        encoder = Encoder(read_ranks(ranks_path), pattern)
-        return lambda batch: pa.array(
-            [encoder.encode(x or "") for x in batch.column(text).to_pylist()], pa.binary()
-        )
+    def packed(batch):
+        one = encoder.value.encode
+        return pa.array([one(x or "") for x in batch.column(text).to_pylist()], pa.binary())
 
-    return _mapped(df, ids, "binary", made)
+    return _mapped(df, ids, "binary", packed)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """`df` with column `text`: the packed `ids` as text, decoded in blocks of tokens. Bytes that
     are no UTF-8 become U+FFFD; a null stays null."""
-
-    def made():
-        tokens = {i: x for x, i in read_ranks(ranks_path).items()}
-
-        def one(packed: bytes | None) -> str | None:
-            if packed is None:
-                return None
-            stream, out = Utf8Stream(), []
-            for at in range(0, len(packed), 1 << 16):
-                block = np.frombuffer(packed[at : at + (1 << 16)], "<u4").tolist()
-                out.append(stream.feed(b"".join([tokens[i] for i in block])))
-            return "".join([*out, stream.close()])
-
-        return lambda batch: pa.array([one(x) for x in batch.column(ids).to_pylist()], pa.string())
-
-    return _mapped(df, text, "string", made)
+    tokens = df.sparkSession.sparkContext.broadcast({i: x for x, i in read_ranks(ranks_path).items()})
+
+    def one(packed: bytes | None) -> str | None:
+        if packed is None:
+            return None
+        stream, out, known = Utf8Stream(), [], tokens.value
+        for at in range(0, len(packed), 1 << 16):
+            block = np.frombuffer(packed[at : at + (1 << 16)], "<u4").tolist()
+            out.append(stream.feed(b"".join([known[i] for i in block])))
+        return "".join([*out, stream.close()])
+
+    return _mapped(df, text, "string", lambda batch: pa.array([one(x) for x in batch.column(ids).to_pylist()], pa.string()))
