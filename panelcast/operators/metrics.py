@@ -25,7 +25,10 @@ def regression_columns(label: str, prediction: str, digits: int | None = 3) -> d
     metrics = {
         "RMSE": F.sqrt(F.avg(error * error)),
         "MAE": F.avg(F.abs(error)),
-        "R2": 1 - F.try_divide(squares, F.count(known) * F.var_pop(known)),
+        # A constant label has no variance to explain: 1 if all predictions are exact, else 0.
+        "R2": F.when(F.var_pop(known) == 0, F.when(squares == 0, 1.0).otherwise(0.0)).otherwise(
+            1 - F.try_divide(squares, F.count(known) * F.var_pop(known))
+        ),
     }
     return {name: _rounded(m, digits) for name, m in metrics.items()}
 

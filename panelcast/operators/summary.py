@@ -88,13 +88,14 @@ def yearly_trend(panel: DataFrame, spec: PanelSpec, name: str = "temp") -> DataF
 
 
 def _pearson(a: str, b: str, complete: bool) -> Column:
-    """Correlation over the rows where both values exist; NULL for a constant column.
+    """Correlation over the rows where both values exist (neither NULL nor NaN); NULL for a
+    constant column.
 
     The built-in ``corr`` divides by zero on constant columns in ANSI mode.
     """
     x, y = F.col(a), F.col(b)
     if not complete:
-        both = x.isNotNull() & y.isNotNull()
+        both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
         x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
@@ -102,7 +103,7 @@ def _pearson(a: str, b: str, complete: bool) -> Column:
 def correlations(df: DataFrame, columns: Sequence[str], complete: bool = False) -> DataFrame:
     """(a, b, corr) for each unordered pair of columns, from a single aggregate row.
 
-    ``complete`` states that no value is NULL: each column's deviation is then computed
+    ``complete`` states that no value is NULL or NaN: each column's deviation is then computed
     once instead of once per pair.
     """
     pairs = list(combinations(columns, 2))

@@ -33,34 +33,6 @@ class ModelConfig:
     centred: bool = False
 
 
-def node_memory_mb(spark: SparkSession, largest: int = 256) -> int:
-    """Memory for node statistics that all running tasks of one heap can have at once.
-
-    A quarter of the heap, shared by its tasks, and no more than the usual 256 MB. A forest
-    then needs more passes on a small heap instead of failing on it.
-    """
-    context = spark.sparkContext
-    conf, jvm = context.getConf(), context._jvm
-    if context.master.startswith("local"):
-        heap = jvm.java.lang.Runtime.getRuntime().maxMemory() // 2**20
-        tasks = context.defaultParallelism
-    else:
-        size = conf.get("spark.executor.memory", "1g")
-        heap = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsMb(size)
-        tasks = int(conf.get("spark.executor.cores", "1"))
-    return max(8, min(largest, heap // (4 * tasks)))
-
-
-def with_node_memory(estimator: Estimator, spark: SparkSession) -> Estimator:
-    """Limit a forest whose ``maxMemoryInMB`` was not chosen by the caller."""
-    if not estimator.hasParam("maxMemoryInMB"):
-        return estimator
-    memory = estimator.getParam("maxMemoryInMB")
-    if estimator.isSet(memory):
-        return estimator
-    return estimator.copy({memory: node_memory_mb(spark)})
-
-
 def linear() -> ModelConfig:
     return ModelConfig(
         "Linear Regression",

@@ -21,7 +21,6 @@ from panelcast.plans.models import (
     ModelConfig,
     input_names,
     preparation,
-    with_node_memory,
 )
 from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
@@ -33,7 +32,9 @@ SAME_VALUE = "Baseline (tomorrow = today)"
 NEVER = "Baseline (always dry)"
 SAME_FLAG = "Baseline (rain today -> rain tomorrow)"
 
-MAX_CATEGORIES = 10_000
+# Partitions of the training rows. Bagging follows partitions and row order, so the number is
+# fixed and does not depend on the machine; give more for tables of many gigabytes.
+PARTITIONS = 16
 
 
 @dataclass
@@ -73,39 +74,31 @@ def _label(spec: PanelSpec, task: str) -> str:
     return (spec.value_target if task == "value" else spec.flag_target).alias
 
 
-def _spread(train: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Even partitions for a table of few files; a large one is already cut by file size.
+def _spread(train: DataFrame, spec: PanelSpec, partitions: int) -> DataFrame:
+    """Even partitions with sorted rows: the same rows give the same forest anywhere.
 
-    Every tree level waits for the slowest task. The unique key spreads a hot entity too.
+    The unique key spreads a hot entity too.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() >= 4 * cores:
-        return train
-    return train.repartition(cores, *spec.key)
-
-
-def _check_categories(train: DataFrame, spec: PanelSpec) -> None:
-    """One-hot inputs are one column per entity, and their list is kept on the driver."""
-    found = train.select(spec.entity).distinct().limit(MAX_CATEGORIES + 1).count()
-    if found > MAX_CATEGORIES:
-        raise ValueError(
-            f"more than {MAX_CATEGORIES} values of {spec.entity}: too many for one-hot inputs; "
-            "train on groups of entities"
-        )
+    return train.repartition(partitions, *spec.key).sortWithinPartitions(*spec.key)
 
 
 @contextmanager
-def training_set(features: DataFrame, spec: PanelSpec, centred: Iterable[bool] = (False,)):
+def training_set(
+    features: DataFrame,
+    spec: PanelSpec,
+    centred: Iterable[bool] = (False,),
+    partitions: int = PARTITIONS,
+):
     """Split by time and prepare the training rows once for all estimators.
 
     ``features`` should be a written table, see :func:`stored_features`. The prepared rows
-    are cached on memory and disk inside the block.
+    are cached on memory and disk inside the block. The same rows and ``partitions`` give the
+    same models on any machine. Entities are one-hot inputs, without a limit on their number.
     """
     ensure_checkpoints(features.sparkSession)
     numeric = feature_names(features.columns, spec)
     train, test = time_split(features, spec)
-    train = _spread(train, spec)
-    _check_categories(train, spec)
+    train = _spread(train, spec, partitions)
     data = TrainingSet(spec, numeric, test)
     value, flag = _label(spec, "value"), _label(spec, "flag")
     try:
@@ -128,7 +121,7 @@ def fit(data: TrainingSet, config: ModelConfig) -> Trained:
         rows = with_class_weight(rows, label)
     elif config.weights == "balanced":
         rows = with_balanced_weight(rows, label)
-    estimator = with_node_memory(config.build(FEATURES, label), rows.sparkSession)
+    estimator = config.build(FEATURES, label)
     fitted = estimator.fit(rows)
     model = PipelineModel([*prep.stages, fitted])
     return Trained(config, model, names, time.monotonic() - started)

@@ -20,9 +20,11 @@ def read_panel_csv(
     """CSV with a header row. The explicit schema saves the extra pass that inference costs.
 
     The header must name the measures of the spec in their order, else the read fails;
-    files with other columns can be read with ``infer``.
+    files with other columns can be read with ``infer``. A cell that is not of its column's
+    type fails the read too, instead of becoming NULL.
     """
     reader = spark.read.option("header", True).option("dateFormat", "yyyy-MM-dd")
+    reader = reader.option("mode", "FAILFAST")
     if infer:
         return reader.option("inferSchema", True).csv(paths)
     return reader.option("enforceSchema", False).schema(spec.schema()).csv(paths)
@@ -50,23 +52,27 @@ def read_payloads(
     entity: str | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """JSON payloads, one document per file, or one per line with ``multi_line=False``."""
-    reader = spark.read.schema(payload_schema(variables, entity))
+    """JSON payloads, one document per file, or one per line with ``multi_line=False``. A document
+    that is no valid JSON fails the read."""
+    reader = spark.read.schema(payload_schema(variables, entity)).option("mode", "FAILFAST")
     return reader.option("multiLine", multi_line).json(paths)
 
 
 def payload_rows(payloads: DataFrame, variables: Sequence[str], spec: PanelSpec) -> DataFrame:
     """One row per array position; columns of the payload besides ``daily`` are kept.
 
-    Arrays of unequal length would be padded silently, so they are an error.
+    Arrays of unequal length would be padded silently, and a payload without days would vanish,
+    so both are errors.
     """
     arrays = ["time", *variables]
     length = F.size("daily.time")
     ragged = F.lit(False)
     for v in variables:
         ragged = ragged | ~F.size(f"daily.{v}").eqNullSafe(length)
-    zipped = F.when(ragged, F.raise_error(F.lit("payload arrays differ in length"))).otherwise(
-        F.arrays_zip(*[F.col(f"daily.{a}") for a in arrays])
+    zipped = (
+        F.when(F.col("daily.time").isNull(), F.raise_error(F.lit("payload without daily.time")))
+        .when(ragged, F.raise_error(F.lit("payload arrays differ in length")))
+        .otherwise(F.arrays_zip(*[F.col(f"daily.{a}") for a in arrays]))
     )
     kept = [c for c in payloads.columns if c != "daily"]
     rows = payloads.select(*kept, F.inline(zipped))

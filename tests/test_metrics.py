@@ -53,10 +53,10 @@ def test_metrics_agree_with_evaluators(spark):
         assert got[name] == pytest.approx(ev.evaluate(df))
 
 
-def test_constant_label_has_no_r2(spark):
+def test_constant_label_has_r2_of_zero_unless_exact(spark):
     df = spark.createDataFrame([(1.0, 1.5), (1.0, 0.5)], "y double, p double")
     row = metrics.regression_metrics(df, "y", "p").first()
-    assert (row["RMSE"], row["MAE"], row["R2"]) == (0.5, 0.5, None)
+    assert (row["RMSE"], row["MAE"], row["R2"]) == (0.5, 0.5, 0.0)
 
 
 def test_confusion_matrix_lists_both_classes(spark):

@@ -129,22 +129,13 @@ def test_remembering_nodes_does_not_change_the_forest(features):
     assert kept.toDebugString.split("\n", 1)[1] == sent.toDebugString.split("\n", 1)[1]
 
 
-def test_forest_memory_fits_the_heap(spark):
-    limit = models.node_memory_mb(spark)
-    assert 8 <= limit <= 256
-    free = models.forest_regressor().build("f", "y")
-    assert models.with_node_memory(free, spark).getMaxMemoryInMB() == limit
-    chosen = models.forest_regressor(maxMemoryInMB=99).build("f", "y")
-    assert models.with_node_memory(chosen, spark).getMaxMemoryInMB() == 99
-    plain = models.linear().build("f", "y")
-    assert models.with_node_memory(plain, spark) is plain
-
-
-def test_too_many_entities_are_refused(features, monkeypatch):
-    monkeypatch.setattr(training, "MAX_CATEGORIES", 2)
-    with pytest.raises(ValueError, match="more than 2 values"):
-        with training.training_set(features, WEATHER):
-            pass
+def test_forest_does_not_depend_on_input_partitions(features):
+    found = set()
+    for parts in (1, 3, 8):
+        with training.training_set(features.repartition(parts), WEATHER) as data:
+            forest = training.fit(data, models.forest_regressor(5, 6)).model.stages[-1]
+            found.add(forest.toDebugString.split("\n", 1)[1])
+    assert len(found) == 1
 
 
 def test_importances_carry_names(spark, fitted):
