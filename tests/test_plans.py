@@ -3,14 +3,14 @@
 import pytest
 from panels import to_spark, weather_frame
 
-import __spark_entry__ as entry
 from panelcast.operators.features import build_features
 from panelcast.weather import WEATHER
+from workload import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TRAINING = ("train_", "model_", "feature_importance", "actual_vs", "batch_", "forecast_",
             "all_entities_glance", "scaled_", "category_", "linear_fit")
-PLAIN = sorted(n for n in entry.queries() if not n.startswith(TRAINING))
+PLAIN = sorted(n for n in QUERIES if not n.startswith(TRAINING))
 
 
 def plan_of(df):
@@ -19,7 +19,7 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", PLAIN)
 def test_no_python_and_no_pairwise_join(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_DIR))
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups",
                  "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
@@ -39,16 +39,16 @@ def test_entity_filter_goes_below_the_window(spark):
 
 
 def test_bucketed_panel_needs_no_shuffle(spark):
-    plan = plan_of(entry.queries()["bucketed_feature_table"](spark, SF_DIR))
+    plan = plan_of(QUERIES["bucketed_feature_table"](spark, SF_DIR))
     assert "Window [" in plan and "Exchange" not in plan
 
 
 def test_scan_reads_only_the_needed_columns(spark):
-    plan = plan_of(entry.queries()["n_years"](spark, SF_DIR))
+    plan = plan_of(QUERIES["n_years"](spark, SF_DIR))
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plan
 
 
 def test_chunked_windows_reuse_the_shuffle(spark):
-    df = entry.queries()["feature_table_chunked"](spark, SF_DIR)
+    df = QUERIES["feature_table_chunked"](spark, SF_DIR)
     df.collect()
     assert "ReusedExchange" in plan_of(df)

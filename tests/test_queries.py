@@ -4,9 +4,9 @@ import pytest
 from compare import differences, duck
 
 import __spark_entry__ as entry
+from workload import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,3 +31,7 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_entry_lists_all_queries():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
