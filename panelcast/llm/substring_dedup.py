@@ -8,7 +8,8 @@ least document that has it.
 
 Hot minimisers (of a passage that many documents share) would fill one bucket with strings
 that differ only at their ends. Strings are counted per minimiser first, equal ones of a batch
-once; the windows of a hot minimiser travel one by one to the bucket of their own hash. The set of hot minimisers is a bitmap of fixed size: a chance
+once; the windows of a hot minimiser travel to the bucket of the least hash of their
+`HOT_GRAM`-word parts, which most windows with words from outside the passage don't share. The set of hot minimisers is a bitmap of fixed size: a chance
 hit in it merely deals a minimiser's windows in that finer way, the result is the same. Equal
 strings of a task are sent once, with the places where they occur.
 """
@@ -36,8 +37,9 @@ from panelcast.llm.columns import unused
 
 WINDOW = 50
 GRAM = 5
-#: A minimiser with more strings than this is dealt out window by window.
+#: A minimiser with more strings than this is dealt out by longer parts of its windows.
 HOT_STRINGS = 1024
+HOT_GRAM = 40
 BITMAP_BITS = 1 << 22
 #: Text of a bucket, on average (about three times as much in strings); the number of buckets
 #: follows the input.
@@ -50,8 +52,8 @@ SECOND = 0xC2B2AE3D27D4EB4F
 def _runs(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None):
     """Super-k-mers: text, first word, end word (in the block), key, name; the words' places.
 
-    Without `hot` the key is the minimiser; with it, windows of hot minimisers are apart and
-    have a key of their own. Equal names mean equal strings.
+    Without `hot` the key is the minimiser; with it, windows of hot minimisers have
+    a key of their own. Equal names mean equal strings.
     """
     starts, ends, word_offsets = find_words(data, offsets)
     first, text = window_starts(word_offsets, WINDOW)
@@ -65,9 +67,10 @@ def _runs(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None):
     if hot is not None:
         slot = (least % np.uint64(BITMAP_BITS)).astype(np.int64)
         own = (hot[slot >> 3] >> (slot & 7) & 1).astype(bool)
-        key = np.where(own, splitmix(windows), least)
+        long = sliding_min(window_hash(words, HOT_GRAM), WINDOW - HOT_GRAM + 1)[first]
+        key = np.where(own, splitmix(long), least)
     begin = np.ones(len(first), bool)
-    begin[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | own[1:]
+    begin[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(begin)
     last = np.append(at[1:], len(first)) - 1
     # A string is at most 95 words long: its first and last window hold it whole.
