@@ -7,7 +7,9 @@ state holds, for each prefix that a later byte can still build on, how its last
 reaches back; states and their transitions are made when first needed and kept. A token is
 emitted as soon as the encodings of all these prefixes share it. A prefix counts as long as
 the bytes after it begin some token, so the lookahead is bounded by the longest token and
-mostly a few bytes.
+mostly a few bytes. The token emitted last is part of the state too, but is kept beside it:
+it matters only where all bytes not emitted yet may form one token, and there a transition
+has two forms, by whether that token may follow the last one.
 """
 
 from __future__ import annotations
@@ -38,12 +40,14 @@ class Transducer:
         self.clear()
 
     def clear(self):
-        # A state is what is not emitted yet, after the token emitted last: the bytes; per
-        # prefix the size of its last token and the end of its first; and the live prefixes,
-        # those after which the bytes begin some token.
-        self.numbers: dict[tuple[bytes, bytes], int] = {(b"", b""): 0}
-        self.states = [(b"", b"", (), (0,), ())]
-        self.steps: dict[int, tuple[int, tuple]] = {}
+        # A state is what is not emitted yet: the bytes; per prefix the size of its last token
+        # and the end of its first; and the live prefixes, those after which the bytes begin
+        # some token. Moves give the next state, the tokens emitted and the last of them.
+        self.numbers: dict[tuple[bytes, tuple], int] = {(b"", ()): 0}
+        self.states = [(b"", (), (0,), ())]
+        self.moves: dict[int, tuple] = {}
+        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        self.ends: dict[int, list[int]] = {}
 
     def merged(self, data: bytes, below: int | None = None) -> list[bytes]:
         """Plain merging of lowest ranks (less than `below`); used on single tokens only."""
@@ -88,59 +92,98 @@ class Transducer:
             else:
                 bound, right = rank_r + 1, self.halves(right)[0]
 
-    def step(self, number: int, byte: int) -> tuple[int, tuple]:
-        """Next state and tokens emitted, made once per state and byte."""
-        data, before, lasts, firsts, live = self.states[number]
+    def fitting(self, left: bytes, right: bytes) -> bool:
+        """`compatible`, found once per pair."""
+        found = self.fits.get((left, right))
+        if found is None:
+            found = self.fits[left, right] = self.compatible(left, right)
+        return found
+
+    def move(self, number: int, byte: int) -> tuple:
+        """The token that all bytes would form, if any, and the two forms of the move: with that
+        token, and without it. The second is made when first needed."""
+        data, _, _, live = self.states[number]
+        whole = data + bytes((byte,))
+        if whole not in self.ranks or (data and (not live or live[0])):
+            made = None, self.made(number, byte, False), None
+        else:
+            made = whole, self.made(number, byte, True), None
+        self.moves[number << 8 | byte] = made
+        return made
+
+    def without(self, number: int, byte: int) -> tuple:
+        whole, made, _ = self.moves[number << 8 | byte]
+        other = self.made(number, byte, False)
+        self.moves[number << 8 | byte] = whole, made, other
+        return other
+
+    def made(self, number: int, byte: int, as_whole: bool) -> tuple[int, tuple, bytes]:
+        """Next state, tokens emitted and the last of them."""
+        data, lasts, firsts, live = self.states[number]
         live = (*live, len(data))
         data += bytes((byte,))
         end = len(data)
         for start in live:
-            if data[start:] in self.ranks:
-                left = data[start - lasts[start - 1] : start] if start else before
-                if self.compatible(left, data[start:]):
+            if start == 0:
+                if as_whole:
                     break
+            elif data[start:] in self.ranks and self.fitting(data[start - lasts[start - 1] : start], data[start:]):
+                break
         else:
             raise ValueError(f"byte {byte} is no token")
         lasts = (*lasts, end - start)
         firsts = (*firsts, firsts[start] if start else end)
         live = [p for p in live if data[p:] in self.begins]
-        out = []
+        out, before = [], b""
         while end and all(firsts[p] == firsts[end] for p in live):
             cut = firsts[end]
             before = data[:cut]
             out.append(self.ranks[before])
             data, lasts, live, end = data[cut:], lasts[cut:], [p - cut for p in live], end - cut
-            made = [0]
+            ends = [0]
             for size in lasts:
-                rest = len(made) - size
-                made.append(len(made) if rest == 0 else made[rest] if rest > 0 else 0)
-            firsts = tuple(made)
-        to = self.numbers.get((before, data))
+                rest = len(ends) - size
+                ends.append(len(ends) if rest == 0 else ends[rest] if rest > 0 else 0)
+            firsts = tuple(ends)
+        to = self.numbers.get((data, lasts))
         if to is None:
-            to = self.numbers[before, data] = len(self.states)
-            self.states.append((data, before, lasts, firsts, tuple(live)))
-        self.steps[number << 8 | byte] = to, tuple(out)
-        return self.steps[number << 8 | byte]
+            to = self.numbers[data, lasts] = len(self.states)
+            self.states.append((data, lasts, firsts, tuple(live)))
+        return to, tuple(out), before
+
+    def end(self, number: int) -> list[int]:
+        """Ids of what a state has not emitted."""
+        pending, lasts, _, _ = self.states[number]
+        end, out = len(pending), []
+        while end:
+            start = end - lasts[end - 1]
+            out.append(self.ranks[pending[start:end]])
+            end = start
+        self.ends[number] = out[::-1]
+        return self.ends[number]
 
     def encode(self, piece: bytes) -> list[int]:
         """Ids of one piece; a piece that is a token itself is that token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) >= MAX_ENTRIES:
+        if max(len(self.moves), len(self.fits)) >= MAX_ENTRIES:
             self.clear()
-        state, out, steps = 0, [], self.steps
+        state, before, out, moves, fits = 0, b"", [], self.moves, self.fits
         for byte in piece:
-            known = steps.get(state << 8 | byte)
-            state, emitted = known if known is not None else self.step(state, byte)
-            out += emitted
-        pending, _, lasts, _, _ = self.states[state]
-        end, rest = len(pending), []
-        while end:
-            start = end - lasts[end - 1]
-            rest.append(self.ranks[pending[start:end]])
-            end = start
-        return out + rest[::-1]
+            token, to, other = moves.get(state << 8 | byte) or self.move(state, byte)
+            if token is not None and before:
+                fit = fits.get((before, token))
+                if fit is None:
+                    fit = self.fitting(before, token)
+                if not fit:
+                    to = other or self.without(state, byte)
+            state, emitted, last = to
+            if emitted:
+                out += emitted
+                before = last
+        ends = self.ends.get(state)
+        return out + (self.end(state) if ends is None else ends)
 
 
 class Encoder:
