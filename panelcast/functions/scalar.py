@@ -57,10 +57,23 @@ def round_half_even(value: Column, digits: int) -> Column:
 
 
 def fixed(value: Column, digits: int, signed: bool = False) -> Column:
-    """Text with a fixed number of decimals, ties to even; ``signed`` always shows the sign."""
+    """Text with a fixed number of decimals; ``signed`` always shows the sign.
+
+    Rounds the exact binary value, as C's printf does: 0.35 is a little less than its text
+    and gives 0.3. Only values exactly between two texts go to the even one.
+    """
+    scale, size = float(10**digits), F.abs(value)
+    # size = high + low; both times the scale are exact, so the sign of the distance is, too.
+    high = size.cast("float").cast("double")
+    low = size - high
+    below = F.floor(size * scale).cast("double")
+    distance = (high * scale - (below + 0.5)) + low * scale
+    up = (distance > 0) | ((distance == 0) & (below % 2 == 1))
+    rounded = F.when(up, below + 1).otherwise(below) / scale
+    # Beyond these sizes a double has no decimals to round.
+    exact = F.when(size < 1e12, F.when(value < 0, -rounded).otherwise(rounded)).otherwise(value)
     pattern = f"%{'+' if signed else ''}.{digits}f"
-    text = F.format_string(pattern, round_half_even(value, digits))
-    return F.when(value.isNotNull(), text)
+    return F.when(value.isNotNull(), F.format_string(pattern, exact))
 
 
 def yes_no(flag: Column) -> Column:

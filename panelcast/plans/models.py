@@ -183,12 +183,13 @@ def importances(model: Transformer, names: Sequence[str], spark: SparkSession) -
 def save_model(
     model: PipelineModel, path: str, spec: PanelSpec, numeric: Sequence[str], spark: SparkSession
 ) -> None:
-    """The fitted pipeline with the spec and input columns it was trained on beside it."""
-    model.write().save(f"{path}/model")
+    """The fitted pipeline with the spec and input columns it was trained on beside it. What
+    was saved there before is replaced."""
+    model.write().overwrite().save(f"{path}/model")
     spark.createDataFrame(
         [(spec.to_json(), list(numeric), [spec.entity])],
         "spec string, num_cols array<string>, cat_cols array<string>",
-    ).coalesce(1).write.json(f"{path}/inputs")
+    ).coalesce(1).write.mode("overwrite").json(f"{path}/inputs")
 
 
 def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel, PanelSpec, list[str]]:

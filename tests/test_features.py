@@ -114,6 +114,15 @@ def test_duplicate_day_fails(spark, chunk_days):
         scoring_features(panel, WEATHER, chunk_days=chunk_days).collect()
 
 
+@pytest.mark.parametrize("chunk_days", [None, 3])
+def test_duplicate_day_fails_in_queries_that_do_not_read_the_day(spark, chunk_days):
+    panel = from_rows(spark, rows_of("A", ["2024-01-01", "2024-01-02", "2024-01-02"]))
+    features = scoring_features(panel, WEATHER, chunk_days=chunk_days)
+    for some in (features.select("city"), features.groupBy("city").count(), features.select(F.count("*"))):
+        with pytest.raises(Exception, match="duplicate key: A 2024-01-02"):
+            some.collect()
+
+
 @pytest.mark.parametrize("chunk_days", [None, 3])
 def test_rows_without_a_key_stay_out_of_the_windows(spark, chunk_days):
     good = rows_of("A", ["2024-01-01", "2024-01-02"], [1.0, 2.0])

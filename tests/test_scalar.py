@@ -21,7 +21,8 @@ def test_condition(spark, cover, rain, label, style):
     assert tuple(row.first()[0]) == (label, style)
 
 
-@pytest.mark.parametrize("value", [0.25, 0.75, 2.5, -1.25, 1.0, -0.04, 1234.5678, 26.5, 27.5])
+@pytest.mark.parametrize("value", [0.25, 0.75, 2.5, -1.25, 1.0, -0.04, 1234.5678, 26.5, 27.5,
+                                   0.35, 8.35, 0.355, 2.675, -0.35, 1.005, 0.125, 99999.95])
 @pytest.mark.parametrize("digits", [0, 1, 2])
 def test_fixed_text_equals_python_format(spark, value, digits):
     row = spark.range(1).select(

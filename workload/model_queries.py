@@ -29,10 +29,6 @@ def stored_features(panel):
     return training.stored_features(build_features(panel, SPEC), SPEC)
 
 
-def small_forest(kind):
-    return kind(trees=10, depth=5)
-
-
 _TRAIN = "train AS (SELECT * FROM features WHERE year <= 1999)"
 _INDEX = (
     "(SELECT entity, row_number() OVER (ORDER BY count(*) DESC, entity) - 1 AS slot, "
@@ -120,9 +116,9 @@ def model_leaderboard(spark, sf_dir):
     features = stored_features(status_panel(spark, sf_dir))
     configs = [
         models.linear(),
-        small_forest(models.forest_regressor),
+        models.forest_regressor(),
         models.logistic(),
-        small_forest(models.forest_classifier),
+        models.forest_classifier(),
     ]
     return training.leaderboard(features, SPEC, configs).drop("seconds")
 
@@ -137,8 +133,8 @@ def _forests(spark, sf_dir):
     return _fitted(
         spark,
         sf_dir,
-        small_forest(models.forest_regressor),
-        small_forest(models.forest_classifier),
+        models.forest_regressor(),
+        models.forest_classifier(),
     )
 
 
@@ -157,15 +153,16 @@ def feature_importance_top10(spark, sf_dir):
 
 @query()
 def actual_vs_predicted_sample(spark, sf_dir):
-    test, (regressor,) = _fitted(spark, sf_dir, small_forest(models.forest_regressor))
+    test, (regressor,) = _fitted(spark, sf_dir, models.forest_regressor())
+    rows = min(2000, test.count())  # the smallest tables have fewer test rows
     return comparable(
-        reports.actual_vs_predicted(training.predict(regressor, test), SPEC, rows=500)
+        reports.actual_vs_predicted(training.predict(regressor, test), SPEC, rows=rows)
     )
 
 
 @query()
 def model_confusion_matrix(spark, sf_dir):
-    test, (classifier,) = _fitted(spark, sf_dir, small_forest(models.forest_classifier))
+    test, (classifier,) = _fitted(spark, sf_dir, models.forest_classifier())
     return confusion_matrix(
         training.predict(classifier, test), SPEC.flag_target.alias, "prediction"
     )
@@ -217,7 +214,7 @@ def forecast_chart(spark, sf_dir):
 @query()
 def model_roundtrip(spark, sf_dir):
     """Forecasts of a model that was saved and loaded, beside those of the original."""
-    test, (regressor,) = _fitted(spark, sf_dir, small_forest(models.forest_regressor))
+    test, (regressor,) = _fitted(spark, sf_dir, models.forest_regressor())
     path = fresh_path(spark, "model")
     numeric = feature_names(test.columns, SPEC)
     models.save_model(regressor.model, path, SPEC, numeric, spark)
@@ -261,3 +258,11 @@ def train_eval_logistic_penalised(spark, sf_dir):
 @query()
 def train_eval_forest_classifier(spark, sf_dir):
     return _train_eval(spark, sf_dir, models.forest_classifier())
+
+
+@query("SELECT * FROM (VALUES ('Linear Regression', true), ('Logistic Regression', true)) AS t(model, timed)")
+def model_seconds(spark, sf_dir):
+    """Whether the leaderboard measured a time for each model."""
+    features = stored_features(status_panel(spark, sf_dir))
+    board = training.leaderboard(features, SPEC, [models.linear(), models.logistic()], baselines=False)
+    return board.select("model", (F.col("seconds") > 0).alias("timed"))

@@ -217,15 +217,15 @@ def baseline_forecast(spark, sf_dir):
         "entity:s day:t observed_day:s observed_level:s observed_condition:s observed_foot:s "
         "predicted_day:s predicted_level:s predicted_condition:s predicted_foot:s",
         "(SELECT entity, day, strftime(day, '%a, %d %b %Y') AS observed_day, "
-        "printf('%.0f', round_even(price_mean, 0)) AS observed_level, "
+        "printf('%.0f', price_mean) AS observed_level, "
         f"{_LABEL.format(event='qty_mean >= 27')} AS observed_condition, "
-        "printf('High %.0f° · Low %.0f°', round_even(price_max, 0), round_even(price_min, 0)) "
+        "printf('High %.0f° · Low %.0f°', price_max, price_min) "
         "AS observed_foot, strftime(day + 1, '%a, %d %b') AS predicted_day, "
-        "printf('%.0f', round_even(predicted, 0)) AS predicted_level, "
+        "printf('%.0f', predicted) AS predicted_level, "
         f"{_LABEL.format(event='score >= threshold')} AS predicted_condition, "
-        "printf('Rain score %.2f · ', round_even(score, 2)) || CASE WHEN actual_value IS NULL "
+        "printf('Rain score %.2f · ', score) || CASE WHEN actual_value IS NULL "
         "THEN 'No actual data for this day' ELSE printf('Actual: %.1f°C, %.1f mm rain', "
-        "round_even(actual_value, 1), round_even(actual_amount, 1)) END AS predicted_foot "
+        "actual_value, actual_amount) END AS predicted_foot "
         "FROM decided WHERE usable)",
         _ACTUAL,
         sql.REQUESTS,

@@ -212,13 +212,13 @@ _TILES = (
         "entity:s day:t tile:s text:s",
         "("
         + " UNION ALL ".join(
-            f"SELECT entity, day, '{name}' AS tile, printf('{text}', round_even({c}, 0)) AS text "
+            f"SELECT entity, day, '{name}' AS tile, printf('{text}', {c}) AS text "
             "FROM windowed"
             for name, c, text in _TILES
         )
         + " UNION ALL SELECT entity, day, 'Pressure change', "
         "CASE WHEN tax_change IS NOT NULL THEN "
-        "printf('%+.1f hPa', round_even(tax_change, 1)) END FROM windowed)",
+        "printf('%+.1f hPa', tax_change) END FROM windowed)",
     )
 )
 def metric_tiles(spark, sf_dir):
