@@ -260,6 +260,13 @@ def train_eval_forest_classifier(spark, sf_dir):
     return _train_eval(spark, sf_dir, models.forest_classifier())
 
 
+@query()
+def train_eval_deep_forest_classifier(spark, sf_dir):
+    features = stored_features(status_panel(spark, sf_dir))
+    config = models.deep_forest_classifier()
+    return training.leaderboard(features, SPEC, [config], baselines=False).drop("seconds")
+
+
 @query("SELECT * FROM (VALUES ('Linear Regression', true), ('Logistic Regression', true)) AS t(model, timed)")
 def model_seconds(spark, sf_dir):
     """Whether the leaderboard measured a time for each model."""
