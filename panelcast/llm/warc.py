@@ -29,24 +29,23 @@ def base32_sha1(hex_digest: str) -> str:
 
 
 def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, sha1, payload_bytes, refers_to) per page and payload; refers_to is the largest
-    page_id of an equal payload, null for that page itself and for short payloads. A page_id
-    repeated with one payload is one record; a null page_id can't be referred to."""
+    """(page_id, sha1, payload_bytes, refers_to) per row of pages, sha1 as bytes; refers_to is the
+    largest page_id of an equal payload, null for that page itself and for short payloads. A null
+    page_id can't be referred to."""
     payload = F.coalesce("html", F.lit(""))
     named = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        F.sha1(payload.cast("binary")).alias("sha1"),
+        F.unhex(F.sha1(payload.cast("binary"))).alias("sha1"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
-    ).distinct()
-    largest = (
-        named.groupBy("sha1", "payload_bytes").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1")
     )
-    joined = named.join(largest.drop("n"), ["sha1", "payload_bytes"], "left")
+    largest = named.groupBy("sha1").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1")
+    joined = named.join(largest.drop("n"), "sha1", "left")
     again = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("largest"))
     return joined.select("page_id", "sha1", "payload_bytes", F.when(again, F.col("largest")).alias("refers_to"))
 
 
 def record_name(page_id, sha1):
+    """The name of a record; page_id and the payload's digest (hex, lower case) can be read from it."""
     return F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), sha1)
 
 
@@ -54,13 +53,13 @@ def _headers(batches):
     for batch in batches:
         out = []
         for x in batch.to_pylist():
-            revisit = x["refers_to"] is not None
+            revisit, sha1 = x["refers_to"] is not None, x["record_id"].rsplit(":", 1)[1]
             lines = [
                 "WARC/1.1",
                 f"WARC-Type: {'revisit' if revisit else 'response'}",
                 f"WARC-Record-ID: <{x['record_id']}>",
                 f"WARC-Date: {DATE}",
-                f"WARC-Payload-Digest: sha1:{base32_sha1(x['sha1'])}",
+                f"WARC-Payload-Digest: sha1:{base32_sha1(sha1)}",
                 f"X-Payload-Bytes: {x['payload_bytes']}",
             ]
             if x["url"]:
@@ -69,7 +68,7 @@ def _headers(batches):
                 lines.append(f"WARC-Target-URI: {url}")
             if revisit:
                 lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-                lines.append(f"WARC-Refers-To: <urn:page:{x['refers_to']}:{x['sha1']}>")
+                lines.append(f"WARC-Refers-To: <urn:page:{x['refers_to']}:{sha1}>")
             lines.append(f"Content-Length: {0 if revisit else x['payload_bytes']}")
             out.append(("\r\n".join(lines) + "\r\n\r\n").encode())
         yield pa.RecordBatch.from_arrays(
@@ -98,16 +97,17 @@ def _running(batches):
 
 
 def chunk_rows(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """The chunk table of one record per page and payload (columns page_id, url, html)."""
-    plan = plan_records(pages, min_bytes).select(
-        F.col("page_id").alias("p"), F.col("sha1").alias("s"), "payload_bytes", "refers_to"
-    )
+    """The chunk table of one record per page and payload (columns page_id, url, html). Rows that
+    repeat a page_id with its payload are one record, with any of their urls. Payloads are
+    shuffled once: the join finds them already dealt and sorted by record_id."""
+    name = record_name(F.col("page_id"), F.lower(F.hex("sha1")))
+    revisits = plan_records(pages, min_bytes).where("refers_to IS NOT NULL").select(name.alias("record_id"), "refers_to")
+    revisits = revisits.groupBy("record_id").agg(F.max("refers_to").alias("refers_to"))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    own = own.withColumn("sha1", F.sha1(F.col("html").cast("binary")))
-    # One record per (page_id, payload): a plan row meets all rows of its key.
-    joined = own.join(plan, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("sha1") == F.col("s")))
-    named = joined.withColumn("record_id", record_name(F.col("page_id"), F.col("sha1")))
-    named = named.dropDuplicates(["record_id"]).select("record_id", "url", "sha1", "payload_bytes", "refers_to", "html")
+    name = record_name(F.col("page_id"), F.sha1(F.col("html").cast("binary")))
+    own = own.select(name.alias("record_id"), "url", "html").dropDuplicates(["record_id"])
+    size = F.octet_length("html").cast("long").alias("payload_bytes")
+    named = own.join(revisits, "record_id", "left").select("record_id", "url", size, "refers_to", "html")
     made = named.mapInArrow(_headers, "record_id string, refers_to long, header binary, html string")
     payload = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise("").cast("binary")
     pieces = F.expr(f"cast((octet_length(payload) + {CHUNK - 1}) div {CHUNK} AS int)")
@@ -180,7 +180,7 @@ def read_archives(spark, path: str) -> DataFrame:
     damaged record fails the job."""
     schema = "archive int, record_id string, chunk int, data binary, running_sha1 binary"
     rows = spark.read.schema(schema).parquet(path)
-    ordered = rows.repartition("record_id").sortWithinPartitions("record_id", "chunk")
+    ordered = rows.drop("archive").repartition("record_id").sortWithinPartitions("record_id", "chunk")
     return ordered.mapInArrow(
         _parsed,
         "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long",
