@@ -72,6 +72,15 @@ def test_packing(spark, odd, odd_rows, empty):
     assert everything.agg(F.sum("length")).first()[0] == sum(len(whole_ids(r[1])) for r in odd_rows)
 
 
+def test_packing_of_added_tokens_in_any_case():
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as definition:
+        encoder = packing.WordEncoder(definition.read())
+    tokens = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>"]
+    texts = tokens + [f"Some{t}Word, {t} {t}. END" for t in tokens] + [" ".join(tokens), "".join(tokens)]
+    for text, packed in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == whole_ids(text)[:-1], text
+
+
 def test_best_fit_uses_the_fullest_bin():
     bins = packing.best_fit([(5, ["a"]), (3, ["b"]), (7, ["c"]), (2, ["d"]), (3, ["e"])], 10)
     assert sorted(x[0] for x in bins) == [10, 10]
