@@ -240,6 +240,12 @@ def _verifier(idf):
 # Buckets, pivots and links.
 
 
+def _node(digest: str):
+    """The number of a text: 60 bits of its md5. Among 10 million texts any two share one with a
+    probability of about 1 in 20,000."""
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     """(a, b, lo, hi, similarity) of pairs, each compared once. Both joins may be split by
     adaptive execution where one text is in many pairs; such pairs stand together, so the set
@@ -348,12 +354,13 @@ def _prefix_pairs(open_texts: DataFrame, idf) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, digest, class_id): one row per row of `df`; digest is md5 of the text.
+    """(doc_id, digest, class_id, component): one row per row of `df`; digest is md5 of the text.
 
-    class_id is the least doc_id among texts connected by equality or by links of at least
-    `SIMILARITY`. Null texts are empty; a text without words repeats nothing and is a class of
-    its own. A row without doc_id takes the class of equal texts that have one, else null.
-    Different texts of one doc_id are one node: their links count for that doc_id.
+    Every different text is a node, whatever its doc_ids: component is the same for texts
+    connected by links of at least `SIMILARITY`, and class_id the least doc_id of their rows,
+    null if none has one. Null texts are empty; a text without words repeats nothing: its
+    component is null and its class_id its own doc_id. Different texts of one doc_id may be in
+    different components; those that link to nothing then have the same class_id.
     """
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -363,20 +370,29 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rows = stored(sampled, "near-samples")
     # One node per text: copies share the digest and all keys.
     distinct = (
-        rows.where("keys IS NOT NULL AND doc_id IS NOT NULL")
+        rows.where("keys IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
+        .agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys"))
+        .withColumn("node", _node("digest"))
     )
     distinct = stored(distinct, "near-nodes")
     spread = distinct.select("node", F.explode("keys").alias("key")).distinct()
     shared = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     buckets = stored(spread.join(shared, "key", "left_semi"), "near-buckets")
-    wanted = distinct.join(buckets.select("node").distinct(), "node", "left_semi").select("node", F.col("digest").alias("_d"))
-    texts = docs.join(wanted, (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("_d")))
+    # One row of each text is read again: any of the least doc_id.
+    wanted = distinct.join(buckets.select("node").distinct(), "node", "left_semi")
+    wanted = wanted.select("node", F.col("least_id").alias("_id"), F.col("digest").alias("_d"))
+    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_d")))
     texts = stored(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
     joined = linked(texts, buckets, idf)
-    classes = distinct.join(joined, "node", "left").select(
-        F.col("digest").alias("_digest"), F.coalesce("component", "node").alias("class_id")
+    members = stored(distinct.select("node", "least_id").join(joined, "node"), "near-members")
+    least = members.groupBy("component").agg(F.min("least_id").alias("class_id"))
+    named = members.select("node", "component").join(least, "component")
+    classes = distinct.select("node", "least_id", F.col("digest").alias("_digest")).join(named, "node", "left")
+    classes = classes.select(
+        "_digest",
+        F.coalesce("class_id", "least_id").alias("class_id"),
+        F.coalesce("component", "node").alias("component"),
     )
     out = rows.join(classes, (F.col("digest") == F.col("_digest")) & F.col("keys").isNotNull(), "left")
-    return out.select("doc_id", "digest", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.select("doc_id", "digest", F.coalesce("class_id", "doc_id").alias("class_id"), "component")

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -150,6 +151,25 @@ def test_bucket_of_one_passage_is_not_paired(spark):
     assert found == {i: i % 1000 for i, _ in texts}
 
 
+def repeated_ids():
+    """Different texts under one doc_id or none, with near copies of each."""
+    a, b, c, d, e = ([f"{x}{i * i % 89}" for i in range(120)] for x in "abcde")
+    near = [" ".join([*own[:60], "changed", *own[61:]]) for own in (a, b, c, d)]
+    a, b, c, d, e = (" ".join(own) for own in (a, b, c, d, e))
+    return [(50, a), (50, b), (50, e), (60, near[0]), (61, near[1]), (None, c), (40, near[2]), (None, d), (None, near[3]), (None, d)]
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    rows = repeated_ids()
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    names = {hashlib.md5(t.encode()).hexdigest(): k for k, (_, t) in reversed(list(enumerate(rows)))}
+    classes = sorted((names[r.digest], r.class_id) for r in found)
+    assert classes == [(0, 50), (1, 50), (2, 50), (3, 50), (4, 50), (5, 40), (6, 40), (7, None), (7, None), (8, None)]
+    component = {names[r.digest]: r.component for r in found}
+    assert component[0] == component[3] and component[1] == component[4] and component[5] == component[6] and component[7] == component[8]
+    assert len(set(component.values())) == 5
+
+
 def test_components_of_chains_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 700)] + [(7, 7), (8, 9), (9, 8)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
