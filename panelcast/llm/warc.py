@@ -6,6 +6,9 @@ chunk its end; the data of a record's rows in order are its bytes in the file, a
 of an archive in order are the file. A payload is cut inside Spark and hashed piece by piece,
 so neither writer nor reader joins a whole record in Python. running_sha1 is the digest of the
 payload up to and with the row; readers check every piece against it.
+
+Every different row of pages (page_id, url, html) is a record. Rows that are equal in all three
+are one with their number in X-Copies, and the reader returns as many rows.
 """
 
 from __future__ import annotations
@@ -29,31 +32,44 @@ def base32_sha1(hex_digest: str) -> str:
 
 
 def plan_records(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """(page_id, sha1, payload_bytes, refers_to) per row of pages, sha1 as bytes; refers_to is the
-    largest page_id of an equal payload, null for that page itself and for short payloads. A null
-    page_id can't be referred to."""
+    """(page_id, sha1, payload_bytes, refers_to, record_id, refers_id) per row of pages, sha1 as
+    bytes; refers_to is the largest page_id of an equal payload, null for that page itself and for
+    short payloads, and refers_id a record of it. A null page_id can't be referred to."""
     payload = F.coalesce("html", F.lit(""))
+    digest = F.sha1(payload.cast("binary"))
+    number = F.col("page_id").cast("long")
     named = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.unhex(F.sha1(payload.cast("binary"))).alias("sha1"),
+        number.alias("page_id"),
+        F.unhex(digest).alias("sha1"),
         F.octet_length(payload).cast("long").alias("payload_bytes"),
+        record_name(number, digest, F.col("url")).alias("record_id"),
     )
-    largest = named.groupBy("sha1").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1")
+    target = F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "record_id")))
+    largest = named.groupBy("sha1").agg(target.alias("largest"), F.count("*").alias("n")).where("n > 1")
     joined = named.join(largest.drop("n"), "sha1", "left")
-    again = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("largest"))
-    return joined.select("page_id", "sha1", "payload_bytes", F.when(again, F.col("largest")).alias("refers_to"))
+    again = (F.col("payload_bytes") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("largest.page_id"))
+    return joined.select(
+        "page_id",
+        "sha1",
+        "payload_bytes",
+        F.when(again, F.col("largest.page_id")).alias("refers_to"),
+        "record_id",
+        F.when(again, F.col("largest.record_id")).alias("refers_id"),
+    )
 
 
-def record_name(page_id, sha1):
-    """The name of a record; page_id and the payload's digest (hex, lower case) can be read from it."""
-    return F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), sha1)
+def record_name(page_id, sha1, url):
+    """The name of a record; page_id and the payload's digest (hex, lower case) can be read from
+    it. Of the url it has the md5."""
+    page, address = F.coalesce(page_id.cast("string"), F.lit("none")), F.coalesce(F.md5(url), F.lit("none"))
+    return F.concat(F.lit("urn:page:"), page, F.lit(":"), sha1, F.lit(":"), address)
 
 
 def _headers(batches):
     for batch in batches:
         out = []
         for x in batch.to_pylist():
-            revisit, sha1 = x["refers_to"] is not None, x["record_id"].rsplit(":", 1)[1]
+            revisit, sha1 = x["refers_id"] is not None, x["record_id"].split(":")[3]
             lines = [
                 "WARC/1.1",
                 f"WARC-Type: {'revisit' if revisit else 'response'}",
@@ -62,18 +78,20 @@ def _headers(batches):
                 f"WARC-Payload-Digest: sha1:{base32_sha1(sha1)}",
                 f"X-Payload-Bytes: {x['payload_bytes']}",
             ]
+            if x["copies"] > 1:
+                lines.append(f"X-Copies: {x['copies']}")
             if x["url"]:
                 # Characters that could end a header line are percent-encoded.
                 url = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", x["url"])
                 lines.append(f"WARC-Target-URI: {url}")
             if revisit:
                 lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-                lines.append(f"WARC-Refers-To: <urn:page:{x['refers_to']}:{sha1}>")
+                lines.append(f"WARC-Refers-To: <{x['refers_id']}>")
             lines.append(f"Content-Length: {0 if revisit else x['payload_bytes']}")
             out.append(("\r\n".join(lines) + "\r\n\r\n").encode())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("record_id"), batch.column("refers_to"), pa.array(out, pa.binary()), batch.column("html")],
-            ["record_id", "refers_to", "header", "html"],
+            [batch.column("record_id"), batch.column("refers_id"), pa.array(out, pa.binary()), batch.column("html")],
+            ["record_id", "refers_id", "header", "html"],
         )
 
 
@@ -97,19 +115,19 @@ def _running(batches):
 
 
 def chunk_rows(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """The chunk table of one record per page and payload (columns page_id, url, html). Rows that
-    repeat a page_id with its payload are one record, with any of their urls. Payloads are
+    """The chunk table of the records of `pages` (columns page_id, url, html). Payloads are
     shuffled once: the join finds them already dealt and sorted by record_id."""
-    name = record_name(F.col("page_id"), F.lower(F.hex("sha1")))
-    revisits = plan_records(pages, min_bytes).where("refers_to IS NOT NULL").select(name.alias("record_id"), "refers_to")
-    revisits = revisits.groupBy("record_id").agg(F.max("refers_to").alias("refers_to"))
+    revisits = plan_records(pages, min_bytes).where("refers_id IS NOT NULL").select("record_id", "refers_id")
+    revisits = revisits.groupBy("record_id").agg(F.max("refers_id").alias("refers_id"))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    name = record_name(F.col("page_id"), F.sha1(F.col("html").cast("binary")))
-    own = own.select(name.alias("record_id"), "url", "html").dropDuplicates(["record_id"])
+    name = record_name(F.col("page_id"), F.sha1(F.col("html").cast("binary")), F.col("url"))
+    own = own.groupBy(name.alias("record_id")).agg(
+        F.first("url").alias("url"), F.first("html").alias("html"), F.count("*").alias("copies")
+    )
     size = F.octet_length("html").cast("long").alias("payload_bytes")
-    named = own.join(revisits, "record_id", "left").select("record_id", "url", size, "refers_to", "html")
-    made = named.mapInArrow(_headers, "record_id string, refers_to long, header binary, html string")
-    payload = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise("").cast("binary")
+    named = own.join(revisits, "record_id", "left").select("record_id", "url", size, "copies", "refers_id", "html")
+    made = named.mapInArrow(_headers, "record_id string, refers_id string, header binary, html string")
+    payload = F.when(F.col("refers_id").isNull(), F.col("html")).otherwise("").cast("binary")
     pieces = F.expr(f"cast((octet_length(payload) + {CHUNK - 1}) div {CHUNK} AS int)")
     cut = made.select("record_id", "header", payload.alias("payload")).withColumn("n", pieces)
     cut = cut.select("record_id", "header", "payload", "n", F.explode(F.expr("sequence(0, n + 1)")).alias("chunk"))
@@ -129,8 +147,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
 
 def _parsed(batches):
     """One row per record from its chunks, which follow each other in order."""
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "copies"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
     head, digest, left = {}, None, 0
 
     def page_of(urn):
@@ -169,6 +187,7 @@ def _parsed(batches):
                         named,
                         head["WARC-Type"],
                         page_of(refers) if refers else None,
+                        int(head.get("X-Copies", 1)),
                     )
                 )
         columns = list(zip(*out, strict=True)) or [()] * len(names)
@@ -176,12 +195,13 @@ def _parsed(batches):
 
 
 def read_archives(spark, path: str) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all records. A
-    damaged record fails the job."""
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all pages: a
+    record's row as often as it has copies. A damaged record fails the job."""
     schema = "archive int, record_id string, chunk int, data binary, running_sha1 binary"
     rows = spark.read.schema(schema).parquet(path)
     ordered = rows.drop("archive").repartition("record_id").sortWithinPartitions("record_id", "chunk")
-    return ordered.mapInArrow(
+    records = ordered.mapInArrow(
         _parsed,
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long",
+        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, copies long",
     )
+    return records.withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).drop("copies", "_copy")

@@ -134,6 +134,20 @@ def test_warc_empty_and_damaged(spark, tmp_path):
         raise AssertionError("damage was not seen")
 
 
+def test_warc_returns_every_page_row(spark, tmp_path):
+    rows = [(1, "a", "x"), (1, "b", "x"), (1, None, "x"), (1, "a", "x"), (2, "c", "y"), (2, "d", "y"), (None, "e", None), (None, "f", None),
+            (None, "e", None), (None, "g", "y"), (None, None, "z"), (3, "h", "z"), (None, "i", "own"), (3, "h", "other")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    warc.write_archives(pages, f"{tmp_path}/pages")
+    found = warc.read_archives(spark, f"{tmp_path}/pages").collect()
+    largest = {"x": 1, "y": 2, "z": 3, "other": 3}
+    want = [(i, u, len(t or ""), None if largest.get(t) == i else largest.get(t)) for i, u, t in rows]
+    assert sorted(((r.page_id, r.url, r.payload_bytes, r.refers_to) for r in found), key=str) == sorted(want, key=str)
+    heads = [r.data.decode() for r in spark.read.parquet(f"{tmp_path}/pages").where("chunk = 0").collect()]
+    responses = {h.split("WARC-Record-ID: ")[1].split("\r\n")[0] for h in heads if "WARC-Type: response" in h}
+    assert {h.split("WARC-Refers-To: ")[1].split("\r\n")[0] for h in heads if "Refers-To: " in h} <= responses
+
+
 def test_near_duplicates(spark, odd, odd_rows, empty):
     found = near_dedup.near_duplicates(clashing(odd)).select("doc_id", "class_id").collect()
     assert len(found) == len(odd_rows)
