@@ -34,7 +34,7 @@ def model_inputs(columns: list[str], spec: PanelSpec) -> list[str]:
 
 def requested_features(
     requests: DataFrame,
-    panel: DataFrame,
+    panel: DataFrame | None,
     spec: PanelSpec,
     chunk_days: int | None = None,
     features: DataFrame | None = None,
@@ -44,10 +44,12 @@ def requested_features(
     Only the requested entities go through the window. The day is not filtered below it,
     since the rows before and after belong to the frames. A day asked for many times is
     one row here, and the status is settled on these distinct keys. ``features`` can be a
-    stored ``scoring_features(panel, spec, actuals=True)``, which saves the window.
+    stored ``scoring_features(panel, spec, actuals=True)``, see :mod:`panelcast.plans.store`;
+    then the panel is not read at all, and an entity is known if the table has it.
     """
     asked = requests.select(*spec.key).distinct()
-    known = requested_entities(requests, panel.select(spec.entity), spec).distinct()
+    source = panel if features is None else features
+    known = requested_entities(requests, source.select(spec.entity), spec).distinct()
     table = features
     if table is None:
         wanted = requested_entities(requests, panel, spec)
@@ -75,13 +77,14 @@ def answer(
 
 def request_rows(
     requests: DataFrame,
-    panel: DataFrame,
+    panel: DataFrame | None,
     spec: PanelSpec,
     default_threshold: float = 0.5,
     chunk_days: int | None = None,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """Requests with the features of their day, the next day's actuals and ``status``."""
-    rows = requested_features(requests, panel, spec, chunk_days)
+    rows = requested_features(requests, panel, spec, chunk_days, features)
     return answer(requests, rows, spec, default_threshold)
 
 
@@ -136,7 +139,7 @@ def decide(scored: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def score(
     requests: DataFrame,
-    panel: DataFrame,
+    panel: DataFrame | None,
     spec: PanelSpec,
     value_model: PipelineModel,
     flag_model: PipelineModel,
