@@ -7,10 +7,11 @@ Two physical forms give the same rows:
   is the default. The uniqueness is enforced while the window runs, at no extra shuffle.
   Rows without entity or day have no place on a timeline and stay out of it.
 * ``chunk_days``: windows per (entity, chunk of days), so that a few long series spread
-  over many tasks. A row whose frame reaches over a chunk border is recomputed from the
-  rows next to the borders only. These are a small share of the table when the chunks are
-  long against the frames (14 of 64 rows for frames of 7 and chunks of 64 days), and an
-  entity's border rows still share one task.
+  over many tasks. The rows that frames reach over a chunk's borders, its halo, are copied into
+  the chunk before the one shuffle of the window, and their copies are dropped after it. How
+  many calendar days a halo spans depends on the gaps in the series; it is found from the
+  outermost days of each chunk, a table of a few days per chunk. No window group is larger
+  than its chunk and ``lookback + lookahead`` rows.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNK, POSITION, SIZE = "__chunk", "__position", "__size"
+CHUNK, SOURCE = "__chunk", "__source"
 BEFORE = "__day_before"
+FROM, UPTO = "__from", "__upto"
 
 WindowColumns = Callable[[WindowSpec], dict[str, Column]]
 
@@ -67,20 +69,46 @@ def along_days(
     if chunk_days is None:
         return _computed(panel, keep, key, by_entity, build)
 
+    number = F.floor(F.unix_date(day) / chunk_days)
+    placed = panel.withColumn(SOURCE, number)
+    halos = _halos(placed, entity, day, chunk_days, lookback, lookahead)
+    ordinal, source, target = F.unix_date(day), F.col(SOURCE), F.col(CHUNK)
+    wanted = (source == target) | F.when(source < target, ordinal >= F.col(FROM)).otherwise(ordinal <= F.col(UPTO))
+    copied = placed.join(halos, [entity, SOURCE]).where(wanted).select(*keep, SOURCE, CHUNK)
     by_chunk = Window.partitionBy(entity, CHUNK).orderBy(day)
-    whole_chunk = by_chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbered = panel.withColumn(CHUNK, F.floor(F.unix_date(day) / chunk_days)).withColumns(
-        {POSITION: F.row_number().over(by_chunk), SIZE: F.count(F.lit(1)).over(whole_chunk)}
+    made = _computed(copied, [*keep, SOURCE, CHUNK], key, by_chunk, build)
+    return made.where(F.col(SOURCE) == F.col(CHUNK)).drop(SOURCE, CHUNK)
+
+
+def _halos(placed: DataFrame, entity: str, day: str, chunk_days: int, lookback: int, lookahead: int) -> DataFrame:
+    """(entity, source, chunk, from, upto): the chunks whose windows need rows of a source chunk, and
+    the first and last day (as numbers) that they need.
+
+    The last ``lookback`` rows before a chunk lie in at most as many chunks that have rows, and
+    likewise after it, so neighbours in an entity's list of chunks suffice. The list holds a few
+    days per chunk and is bounded by the calendar.
+    """
+    outer = placed.groupBy(entity, SOURCE).agg(F.sort_array(F.collect_list(F.unix_date(day))).alias("days"))
+    outer = outer.select(
+        entity,
+        F.struct(
+            F.col(SOURCE).alias("chunk"),
+            F.slice("days", 1, lookahead).alias("first"),
+            F.slice("days", F.greatest(F.size("days") - lookback, F.lit(0)) + 1, lookback).alias("last"),
+        ).alias("part"),
+    )
+    listed = outer.groupBy(entity).agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    before = f"flatten(transform(slice(parts, greatest(i - {lookback}, 0) + 1, least(i, {lookback})), y -> y.last))"
+    after = f"flatten(transform(slice(parts, i + 2, {lookahead}), y -> y.first))"
+    spans = listed.select(
+        entity,
+        F.expr(f"inline(transform(parts, (x, i) -> struct(x.chunk AS {CHUNK}, {before} AS before, {after} AS after)))"),
+    )
+    spans = spans.select(
+        entity,
+        CHUNK,
+        F.expr(f"get(before, greatest(size(before) - {lookback}, 0))").alias(FROM),
+        F.expr(f"get(after, least(size(after), {lookahead}) - 1)").alias(UPTO),
     )
-    first = F.col(POSITION)
-    last = F.col(SIZE) - F.col(POSITION) + 1
-    crosses_border = (first <= lookback) | (last <= lookahead)
-    # Every row that a border-crossing frame can touch, in unbroken runs.
-    reach = lookback + lookahead
-    near_border = (first <= reach) | (last <= reach)
-    marks = [CHUNK, POSITION, SIZE]
-    inner = _computed(numbered, keep + marks, key, by_chunk, build).where(~crosses_border)
-    border = _computed(
-        numbered.where(near_border), keep + marks, key, by_entity, build
-    ).where(crosses_border)
-    return inner.unionByName(border).drop(*marks)
+    first, last = (F.coalesce(F.floor(F.col(c) / chunk_days), F.col(CHUNK)) for c in (FROM, UPTO))
+    return spans.withColumn(SOURCE, F.explode(F.sequence(first, last)))

@@ -134,3 +134,23 @@ def test_rows_without_a_key_stay_out_of_the_windows(spark, chunk_days):
 def test_spec_survives_json():
     assert PanelSpec.from_json(WEATHER.to_json()) == WEATHER
     assert (WEATHER.lookback, WEATHER.horizon) == (6, 1)
+
+
+@pytest.mark.parametrize("keep", [1.0, 0.3, 0.03])
+def test_window_groups_are_a_chunk_and_its_halo(spark, keep):
+    """Also in series with gaps of many chunks."""
+    from panelcast.operators.windows import CHUNK, SOURCE, _halos
+
+    frame = weather_frame(days=400, keep=keep, seed=3)
+    placed = to_spark(spark, frame).withColumn(SOURCE, F.floor(F.unix_date("date") / 8))
+    for back, ahead in ((6, 1), (0, 2), (3, 0), (0, 0)):
+        halos = _halos(placed, "city", "date", 8, back, ahead)
+        day = F.unix_date("date")
+        wanted = (F.col(SOURCE) == F.col(CHUNK)) | F.when(F.col(SOURCE) < F.col(CHUNK), day >= F.col("__from")).otherwise(day <= F.col("__upto"))
+        rows = placed.join(halos, ["city", SOURCE]).where(wanted).toPandas()
+        assert (rows[SOURCE] == rows[CHUNK]).sum() == len(frame)
+        for (city, chunk), group in rows.groupby(["city", CHUNK]):
+            days = frame[frame.city == city]["date"].sort_values().tolist()
+            inside = [i for i, d in enumerate(days) if (d - dt.date(1970, 1, 1)).days // 8 == chunk]
+            want = days[max(inside[0] - back, 0) : inside[-1] + 1 + ahead]
+            assert sorted(group["date"]) == want

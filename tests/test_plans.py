@@ -48,7 +48,8 @@ def test_scan_reads_only_the_needed_columns(spark):
     assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plan
 
 
-def test_chunked_windows_reuse_the_shuffle(spark):
+def test_chunked_windows_are_one_window_and_one_sort(spark):
     df = QUERIES["feature_table_chunked"](spark, SF_DIR)
     df.collect()
-    assert "ReusedExchange" in plan_of(df)
+    plan = plan_of(df).split("== Initial Plan ==")[0]
+    assert plan.count("Window [") == 1 and plan.count("Sort [") == 1
