@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -56,14 +57,18 @@ def forest_regressor(trees: int = 100, depth: int = 10, seed: int = 42, **params
     )
 
 
-def deep_forest_regressor(**params) -> ModelConfig:
+DEEP_TREES = 200
+
+
+def deep_forest_regressor(trees: int = DEEP_TREES, seed: int = 42, **params) -> ModelConfig:
     """All features at every split, deeper trees, at least 3 rows in a leaf.
 
     Statistics of its many nodes are collected in passes of ``maxMemoryInMB`` per task; a
-    larger value than the default 256 saves passes.
+    larger value than the default 256 saves passes. Trained in batches of trees by
+    :mod:`panelcast.plans.ensembles`.
     """
     settings = {"minInstancesPerNode": 3, "featureSubsetStrategy": "all"} | params
-    return forest_regressor(200, 15, **settings)
+    return forest_regressor(trees, 15, seed, **settings)
 
 
 def logistic(iterations: int = 100) -> ModelConfig:
@@ -145,7 +150,7 @@ def preparation(spec: PanelSpec, numeric: Sequence[str], centred: bool = False)
                 StandardScaler(
                     inputCol="numeric", outputCol="scaled", withMean=True, withStd=True
                 ),
-                VectorAssembler(inputCols=["numeric", onehot], outputCol=RAW),
+                VectorAssembler(inputCols=[*numeric, onehot], outputCol=RAW),
                 VectorAssembler(inputCols=["scaled", onehot], outputCol=FEATURES),
             ]
         )
@@ -180,24 +185,77 @@ def importances(model: Transformer, names: Sequence[str], spark: SparkSession) -
     )
 
 
+INPUTS = "spec string, num_cols array<string>, cat_cols array<string>, manifest string"
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """What a stored model was made of: the pipeline's name, the types of its input columns, a
+    fingerprint of its training rows, and the settings of its last stage."""
+
+    uid: str
+    types: dict[str, str]
+    rows: str
+    settings: dict[str, str]
+
+    def check_rows(self, rows: DataFrame) -> None:
+        """Fails unless `rows` has every input column with the type it was trained on."""
+        found = {f.name: f.dataType.simpleString() for f in rows.schema}
+        wrong = [f"{c} {t} (found {found.get(c, 'none')})" for c, t in self.types.items() if found.get(c) != t]
+        if wrong:
+            raise ValueError(f"the model was trained on other columns: {', '.join(wrong)}")
+
+
+def manifest(model: PipelineModel, train: DataFrame, spec: PanelSpec, numeric: Sequence[str], rows: str) -> Manifest:
+    """``rows`` is the fingerprint of the training rows, see :meth:`TrainingSet.rows_fingerprint`."""
+    types = {f.name: f.dataType.simpleString() for f in train.schema if f.name in {*numeric, spec.entity}}
+    settings = {p.name: str(v) for p, v in model.stages[-1].extractParamMap().items()}
+    return Manifest(model.uid, types, rows, settings)
+
+
 def save_model(
-    model: PipelineModel, path: str, spec: PanelSpec, numeric: Sequence[str], spark: SparkSession
+    model: PipelineModel,
+    path: str,
+    spec: PanelSpec,
+    numeric: Sequence[str],
+    spark: SparkSession,
+    made_of: Manifest | None = None,
 ) -> None:
-    """The fitted pipeline with the spec and input columns it was trained on beside it. What
-    was saved there before is replaced."""
+    """The fitted pipeline with the spec and input columns it was trained on beside it, and its
+    manifest if there is one. What was saved there before is replaced."""
     model.write().overwrite().save(f"{path}/model")
+    text = None if made_of is None else json.dumps(asdict(made_of), sort_keys=True)
     spark.createDataFrame(
-        [(spec.to_json(), list(numeric), [spec.entity])],
-        "spec string, num_cols array<string>, cat_cols array<string>",
+        [(spec.to_json(), list(numeric), [spec.entity], text)], INPUTS
     ).coalesce(1).write.mode("overwrite").json(f"{path}/inputs")
 
 
 def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel, PanelSpec, list[str]]:
     """Read a saved pipeline back and check that it takes the recorded inputs."""
+    model, spec, numeric, _ = _load(path, spark)
+    return model, spec, numeric
+
+
+def load_checked(
+    path: str, spark: SparkSession, spec: PanelSpec, rows: DataFrame | None = None, trained_on: str | None = None
+) -> PipelineModel:
+    """A saved pipeline that fits its use, else an error: it has a manifest, was trained for ``spec``, takes the
+    columns of ``rows`` with their types, and was trained on the rows of that fingerprint."""
+    model, saved, _, made_of = _load(path, spark)
+    if made_of is None:
+        raise ValueError(f"the model at {path} has no manifest")
+    if saved != spec:
+        raise ValueError(f"the model at {path} was trained for another spec")
+    if rows is not None:
+        made_of.check_rows(rows)
+    if trained_on is not None and made_of.rows != trained_on:
+        raise ValueError(f"the model at {path} was trained on other rows")
+    return model
+
+
+def _load(path: str, spark: SparkSession) -> tuple[PipelineModel, PanelSpec, list[str], Manifest | None]:
     model = PipelineModel.load(f"{path}/model")
-    inputs = spark.read.schema(
-        "spec string, num_cols array<string>, cat_cols array<string>"
-    ).json(f"{path}/inputs").first()
+    inputs = spark.read.schema(INPUTS).json(f"{path}/inputs").first()
     assembled = [
         c
         for stage in model.stages
@@ -207,4 +265,7 @@ def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel, PanelSpec
     missing = [c for c in inputs["num_cols"] if c not in assembled]
     if missing:
         raise ValueError(f"the model at {path} does not use {missing}")
-    return model, PanelSpec.from_json(inputs["spec"]), list(inputs["num_cols"])
+    made_of = Manifest(**json.loads(inputs["manifest"])) if inputs["manifest"] else None
+    if made_of is not None and made_of.uid != model.uid:
+        raise ValueError(f"the manifest at {path} is of another model")
+    return model, PanelSpec.from_json(inputs["spec"]), list(inputs["num_cols"]), made_of

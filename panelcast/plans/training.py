@@ -6,6 +6,7 @@ import time
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -24,7 +25,7 @@ from panelcast.plans.models import (
 )
 from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
-from panelcast.storage import ensure_checkpoints, fresh_path
+from panelcast.storage import ensure_checkpoints, fresh_path, table_fingerprint
 
 # Task and baseline names in results files.
 VALUE_TASK, FLAG_TASK = "temperature", "rain"
@@ -52,10 +53,19 @@ class TrainingSet:
     spec: PanelSpec
     numeric: list[str]
     test: DataFrame
+    train: DataFrame
     prepared: dict[bool, tuple[PipelineModel, list[str], DataFrame]] = field(
         default_factory=dict
     )
 
+    @cached_property
+    def _fingerprint(self) -> str:
+        return table_fingerprint(self.train)
+
+    def rows_fingerprint(self) -> str:
+        """Names the training rows by content, whatever their order."""
+        return self._fingerprint
+
 
 def stored_features(features: DataFrame, spec: PanelSpec) -> DataFrame:
     """Write the feature table by year under the shared folder and read it back.
@@ -70,7 +80,7 @@ def stored_features(features: DataFrame, spec: PanelSpec) -> DataFrame:
     return spark.read.schema(features.schema).parquet(path).select(*features.columns)
 
 
-def _label(spec: PanelSpec, task: str) -> str:
+def label_of(spec: PanelSpec, task: str) -> str:
     return (spec.value_target if task == "value" else spec.flag_target).alias
 
 
@@ -98,9 +108,9 @@ def training_set(
     ensure_checkpoints(features.sparkSession)
     numeric = feature_names(features.columns, spec)
     train, test = time_split(features, spec)
+    data = TrainingSet(spec, numeric, test, train)
     train = _spread(train, spec, partitions)
-    data = TrainingSet(spec, numeric, test)
-    value, flag = _label(spec, "value"), _label(spec, "flag")
+    value, flag = label_of(spec, "value"), label_of(spec, "flag")
     try:
         for flavour in sorted(set(centred)):
             prep = preparation(spec, numeric, flavour).fit(train)
@@ -113,15 +123,22 @@ def training_set(
             rows.unpersist()
 
 
+def fitting_rows(data: TrainingSet, config: ModelConfig) -> DataFrame:
+    """The prepared rows, with the weights that the configuration asks for."""
+    _, _, rows = data.prepared[config.centred]
+    label = label_of(data.spec, config.task)
+    if config.weights == "ratio":
+        return with_class_weight(rows, label)
+    if config.weights == "balanced":
+        return with_balanced_weight(rows, label)
+    return rows
+
+
 def fit(data: TrainingSet, config: ModelConfig) -> Trained:
     started = time.monotonic()
-    prep, names, rows = data.prepared[config.centred]
-    label = _label(data.spec, config.task)
-    if config.weights == "ratio":
-        rows = with_class_weight(rows, label)
-    elif config.weights == "balanced":
-        rows = with_balanced_weight(rows, label)
-    estimator = config.build(FEATURES, label)
+    prep, names, _ = data.prepared[config.centred]
+    rows = fitting_rows(data, config)
+    estimator = config.build(FEATURES, label_of(data.spec, config.task))
     fitted = estimator.fit(rows)
     model = PipelineModel([*prep.stages, fitted])
     return Trained(config, model, names, time.monotonic() - started)
@@ -133,8 +150,8 @@ def predict(trained: Trained, rows: DataFrame) -> DataFrame:
 
 def _metric_columns(spec: PanelSpec, task: str, prediction: str, digits: int | None):
     if task == "value":
-        return regression_columns(_label(spec, task), prediction, digits)
-    return binary_columns(_label(spec, task), F.col(prediction) == 1, digits)
+        return regression_columns(label_of(spec, task), prediction, digits)
+    return binary_columns(label_of(spec, task), F.col(prediction) == 1, digits)
 
 
 def evaluate(
