@@ -1,26 +1,53 @@
-"""Exact-size sample and top-k."""
+"""Exact-size samples and top-k."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.storage import fresh_path
 
-def sample_rows(df: DataFrame, keys: Sequence[str], rows: int, seed: int = 0) -> DataFrame:
-    """``rows`` rows without replacement, the same ones for any partitioning.
+RANK = "__rank"
 
-    Each task keeps its own smallest hashes, so only ``rows`` rows per task move. Fewer
-    rows than asked for is an error.
+
+def sample_rank(keys: Sequence[str], seed: int) -> Column:
+    """The place of a row in the draw: the MD5 of its keys' texts and the seed, joined by bars.
+    Any engine with MD5 draws the same rows. Nulls are empty texts."""
+    texts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    return F.md5(F.concat_ws("|", *texts, F.lit(str(seed))))
+
+
+def sample_rows(
+    df: DataFrame, keys: Sequence[str], rows: int, seed: int = 0, strict: bool = True
+) -> DataFrame:
+    """``rows`` rows without replacement, the same ones for any partitioning and engine.
+
+    Each task keeps its own smallest ranks, so only ``rows`` rows per task move. With ``strict``,
+    the sample is written once and counted; fewer rows than asked for is an error. Else
+    a smaller table is returned whole.
     """
-    rank = "__rank"
-    hashed = df.withColumn(rank, F.xxhash64(*keys, F.lit(seed)))
-    sample = hashed.orderBy(rank, *keys).limit(rows).drop(rank)
-    available = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    sample = df.withColumn(RANK, sample_rank(keys, seed)).orderBy(RANK, *keys).limit(rows).drop(RANK)
+    if not strict:
+        return sample
+    path = fresh_path(df.sparkSession, "sample")
+    sample.write.parquet(path)
+    stored = df.sparkSession.read.schema(sample.schema).parquet(path)
+    available = stored.count()
     if available < rows:
         raise ValueError(f"cannot take {rows} of {available} rows without replacement")
-    return sample
+    return stored
+
+
+def sample_rows_by(
+    df: DataFrame, group: Sequence[str], keys: Sequence[str], rows: int, seed: int = 0
+) -> DataFrame:
+    """Up to ``rows`` rows of each group, drawn as :func:`sample_rows` does. Each task drops what
+    cannot be among a group's first before the shuffle, so a hot group moves ``rows`` rows per task."""
+    order = Window.partitionBy(*group).orderBy(RANK, *keys)
+    ranked = df.withColumn(RANK, sample_rank(keys, seed))
+    return ranked.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= rows).drop(RANK, "__place")
 
 
 def top(df: DataFrame, value: str, tie_break: str, rows: int = 10) -> DataFrame:

@@ -20,9 +20,12 @@ TILES = (
     ("Rain, 7 days", "amount_total", 0, " mm"),
     ("Pressure change", "pressure_change", 1, " hPa"),
 )
-# Names of the chart's series, texts of the cards.
+# Names of the chart's series, texts of the cards and short lines.
 HISTORY, PREDICTED, ACTUAL = "Last 14 days", "Predicted tomorrow", "Actual"
 NO_ACTUAL = "No actual data for this day"
+OBSERVED, DEGREES, RAIN = "Actual: ", "°C, ", " mm rain"
+HIGH, LOW, DEGREE = "High ", "° · Low ", "°"
+RAIN_SCORE, SCORE, DOT = "Rain score ", " · score ", " · "
 
 
 def date_labels(df: DataFrame, day: str) -> DataFrame:
@@ -60,11 +63,11 @@ def cards(scored: DataFrame, spec: PanelSpec) -> DataFrame:
     actual = F.when(
         F.col(ACTUAL_VALUE).isNotNull(),
         F.concat(
-            F.lit("Actual: "),
+            F.lit(OBSERVED),
             fixed(F.col(ACTUAL_VALUE), 1),
-            F.lit("°C, "),
+            F.lit(DEGREES),
             fixed(F.col(ACTUAL_AMOUNT), 1),
-            F.lit(" mm rain"),
+            F.lit(RAIN),
         ),
     ).otherwise(F.lit(NO_ACTUAL))
     return scored.where("status = 'ok'").select(
@@ -74,14 +77,14 @@ def cards(scored: DataFrame, spec: PanelSpec) -> DataFrame:
         F.col("today.label").alias("observed_condition"),
         F.col("today.style").alias("observed_style"),
         F.concat(
-            F.lit("High "), fixed(F.col(r.high), 0), F.lit("° · Low "), fixed(F.col(r.low), 0),
-            F.lit("°"),
+            F.lit(HIGH), fixed(F.col(r.high), 0), F.lit(LOW), fixed(F.col(r.low), 0),
+            F.lit(DEGREE),
         ).alias("observed_foot"),
         F.date_format("next_day", CARD_NEXT_DAY).alias("predicted_day"),
         fixed(F.col("predicted"), 0).alias("predicted_level"),
         F.col("tomorrow.label").alias("predicted_condition"),
         F.col("tomorrow.style").alias("predicted_style"),
-        F.concat(F.lit("Rain score "), fixed(F.col("score"), 2), F.lit(" · "), actual).alias(
+        F.concat(F.lit(RAIN_SCORE), fixed(F.col("score"), 2), F.lit(DOT), actual).alias(
             "predicted_foot"
         ),
         "era",
@@ -93,7 +96,7 @@ def glance(scored: DataFrame, spec: PanelSpec) -> DataFrame:
     return scored.where("status = 'ok'").select(
         *spec.key,
         fixed(F.col("predicted"), 0).alias("level"),
-        F.concat(F.col("tomorrow.label"), F.lit(" · score "), fixed(F.col("score"), 2)).alias(
+        F.concat(F.col("tomorrow.label"), F.lit(SCORE), fixed(F.col("score"), 2)).alias(
             "text"
         ),
         F.col("tomorrow.style").alias("style"),
@@ -140,15 +143,16 @@ def history_chart(
 
 
 def actual_vs_predicted(
-    predictions: DataFrame, spec: PanelSpec, rows: int = 2000, seed: int = 0
+    predictions: DataFrame, spec: PanelSpec, rows: int = 2000, seed: int = 0, strict: bool = True
 ) -> DataFrame:
-    """Sampled points of the scatter: (entity, day, actual, predicted)."""
+    """Sampled points of the scatter: (entity, day, actual, predicted). The draw depends on the keys
+    only, so rows may be sampled before they are predicted."""
     named = predictions.select(
         *spec.key,
         F.col(spec.value_target.alias).alias("actual"),
         F.col("prediction").alias("predicted"),
     )
-    return sample_rows(named, spec.key, rows, seed)
+    return sample_rows(named, spec.key, rows, seed, strict)
 
 
 def importance_bars(importance: DataFrame, rows: int = 10) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import baselines, metrics, split
 from panelcast.operators.features import build_features
-from panelcast.operators.sampling import sample_rows, top
+from panelcast.operators.sampling import sample_rows, sample_rows_by, top
 from panelcast.plans.training import baseline_rows, task_results
 from panelcast.weather import WEATHER
 
@@ -143,3 +143,20 @@ def test_sample_is_exact_and_independent_of_partitions(spark):
 def test_top_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "feature string, v double")
     assert [r["feature"] for r in top(df, "v", "feature", 2).collect()] == ["c", "a"]
+
+
+def test_samples_are_the_least_md5_of_key_and_seed(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(100)], "k int, g string").repartition(4)
+    place = {i: hashlib.md5(f"{i}|7".encode()).hexdigest() for i in range(100)}
+    want = sorted(place, key=place.get)[:30]
+    assert sorted(r.k for r in sample_rows(df, ["k"], 30, seed=7).collect()) == sorted(want)
+    for group in (0, 1):
+        own = sorted((i for i in place if i % 2 == group), key=place.get)[:5]
+        found = sample_rows_by(df, ["g"], ["k"], 5, seed=7).where(F.col("g") == "ab"[group])
+        assert sorted(r.k for r in found.collect()) == sorted(own)
+    assert sample_rows(df, ["k"], 500, strict=False).count() == 100
+    assert sample_rows_by(df, ["g"], ["k"], 500).count() == 100
+    plan = sample_rows_by(df, ["g"], ["k"], 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
