@@ -16,8 +16,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None:
         return "NULL"
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         return repr(value + 0)
     return str(value)

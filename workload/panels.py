@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast import Delta, Lag, PanelSpec, Roles, Rolling, Target
+from panelcast.catalogue import Catalogue
+from panelcast.plans.store import feature_store
 from panelcast.sources.readers import daily_panel
 
 LEVEL_EVENT = 27.0
@@ -103,6 +105,20 @@ def nation_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily_panel(items, F.col("n_name"), ship_day(), _measures(), SPEC)
 
 
+def catalogue(spark: SparkSession) -> Catalogue:
+    """The stored tables of this application; whoever started it deletes them at its end."""
+    return Catalogue(spark)
+
+
+def status_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored feature table of :func:`status_panel`."""
+    return feature_store(catalogue(spark), status_panel(spark, sf_dir), SPEC)
+
+
+def nation_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feature_store(catalogue(spark), nation_panel(spark, sf_dir), SPEC)
+
+
 def order_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order asks for a forecast; its priority picks the entity, one of them unknown."""
     priority = F.substring("o_orderpriority", 1, 1)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from panelcast.operators import quality
 from panelcast.operators.features import scoring_features
 from panelcast.operators.summary import counts_by
-from panelcast.sources.readers import attach_dimension, union_panels, with_entity
+from panelcast.sources.readers import attach_dimension, entity_dimension, union_panels, with_entity
 from workload import sql
 from workload.comparable import comparable, sql_select
-from workload.panels import DESCRIBED, SPEC, status_panel, table
+from workload.panels import DESCRIBED, SPEC, nation_panel, status_panel, table
 from workload.registry import query
 
 ITEM_KEY = ["l_orderkey", "l_linenumber"]
@@ -170,6 +170,25 @@ def union_entities(spark, sf_dir):
     return comparable(union_panels([items, with_entity(daily, "events", SPEC)]))
 
 
+@query(
+    f"WITH {sql.NATION_PANEL} "
+    + sql_select(
+        "entity:s lat:d lon:d days:i",
+        "(SELECT entity, min(CAST(n_regionkey AS DOUBLE)) AS lat, min(-CAST(n_nationkey AS DOUBLE)) AS lon, "
+        "count(*) AS days FROM panel JOIN nation ON entity = n_name WHERE n_nationkey % 5 <> 0 GROUP BY 1 "
+        "UNION ALL SELECT entity, NULL, NULL, count(*) FROM panel JOIN nation ON entity = n_name "
+        "WHERE n_nationkey % 5 = 0 GROUP BY 1)",
+    )
+)
+def entity_places(spark, sf_dir):
+    """Days per nation with its place, from a list of places that lacks some nations."""
+    nations = table(spark, sf_dir, "nation").where("n_nationkey % 5 <> 0")
+    places = [(r.n_name, float(r.n_regionkey), -float(r.n_nationkey)) for r in nations.collect()]
+    panel = nation_panel(spark, sf_dir)
+    days = panel.groupBy(SPEC.entity).agg(F.count(F.lit(1)).alias("days"))
+    return comparable(attach_dimension(days, entity_dimension(spark, places, SPEC), SPEC).select("entity", "lat", "lon", "days"))
+
+
 @query(
     sql_select(
         "entity:s day:t orders:i total:d region:s",

@@ -8,12 +8,13 @@ from panelcast.functions.scalar import yes_no
 from panelcast.operators import requests as ops
 from panelcast.operators.features import next_day_actual as next_day_actual_rows
 from panelcast.operators.features import scoring_features
-from panelcast.plans.reports import cards
+from panelcast.plans.reports import cards, glance, glance_requests
 from panelcast.plans.reports import history_chart as history_chart_rows
 from panelcast.plans.scoring import answer, decide, request_rows, requested_features
+from panelcast.plans.store import panel_rows, scoring_rows
 from workload import sql
 from workload.comparable import comparable
-from workload.panels import SPEC, month_starts, order_requests, status_panel
+from workload.panels import SPEC, month_starts, order_requests, status_panel, status_store
 from workload.registry import query
 
 _MONTHS = (
@@ -104,6 +105,10 @@ def history_chart(spark, sf_dir):
     return comparable(history_chart_rows(requests, status_panel(spark, sf_dir), SPEC))
 
 
+def _stored(spark, sf_dir):
+    return scoring_rows(status_store(spark, sf_dir), SPEC)
+
+
 _ROWS = (
     "rows AS (SELECT r.*, w.price_mean, w.qty_sum_7d, w.price_mean_lag2, w.entity AS found, "
     "a.actual_value, a.actual_amount, "
@@ -127,7 +132,7 @@ _ROWS = (
 )
 def request_status(spark, sf_dir):
     requests = order_requests(spark, sf_dir)
-    rows = request_rows(requests, status_panel(spark, sf_dir), SPEC)
+    rows = request_rows(requests, None, SPEC, features=_stored(spark, sf_dir))
     return comparable(
         rows.select(
             "request_id", *SPEC.key, "price_mean", "price_mean_lag2", "qty_sum_7d",
@@ -149,7 +154,7 @@ def request_status(spark, sf_dir):
 def threshold_decisions(spark, sf_dir):
     """Decisions per threshold, with the scaled 7-day sum as the score."""
     requests = order_requests(spark, sf_dir)
-    rows = request_rows(requests, status_panel(spark, sf_dir), SPEC).where("status = 'ok'")
+    rows = request_rows(requests, None, SPEC, features=_stored(spark, sf_dir)).where("status = 'ok'")
     decision = yes_no(F.col("qty_sum_7d") / 350 >= F.col("threshold"))
     return comparable(
         rows.groupBy("threshold", decision.alias("decision")).agg(
@@ -172,10 +177,10 @@ _LABEL = (
 )
 
 
-def persistence_forecast(spark, sf_dir):
+def persistence_forecast(spark, sf_dir, requests=None):
     """Requests answered with today's level as forecast and the scaled amount as score."""
-    requests = order_requests(spark, sf_dir)
-    rows = requested_features(requests, status_panel(spark, sf_dir), SPEC)
+    requests = order_requests(spark, sf_dir) if requests is None else requests
+    rows = requested_features(requests, None, SPEC, features=_stored(spark, sf_dir))
     usable = F.col("status") == "ok"
     forecast = rows.withColumns(
         {
@@ -235,3 +240,41 @@ def baseline_forecast(spark, sf_dir):
 def baseline_cards(spark, sf_dir):
     table = cards(persistence_forecast(spark, sf_dir), SPEC)
     return comparable(table.drop("observed_style", "predicted_style", "era"))
+
+
+@query(
+    sql.on_windowed(
+        "entity:s day:t level:s text:s",
+        "(SELECT entity, day, printf('%.0f', predicted) AS level, "
+        f"{_LABEL.format(event='score >= threshold')} || printf(' · score %.2f', score) AS text FROM decided WHERE usable)",
+        _ACTUAL,
+        _MONTHS,
+        "requests AS (SELECT entity, day, 0.5 AS threshold FROM panel WHERE day IN (SELECT day FROM months))",
+        _DECIDED,
+    )
+)
+def baseline_glance(spark, sf_dir):
+    """The short line of every entity on the first of each month."""
+    store = status_store(spark, sf_dir)
+    requests = glance_requests(store, month_starts(spark, sf_dir), SPEC)
+    return comparable(glance(persistence_forecast(spark, sf_dir, requests), SPEC).drop("style"))
+
+
+@query(
+    sql.on_windowed(
+        "entity:s request_day:t series:s chart_day:t value:d",
+        "(SELECT r.entity, r.day AS request_day, CASE WHEN p.day > r.day THEN 'Actual' "
+        "ELSE 'Last 14 days' END AS series, p.day AS chart_day, p.price_mean AS value FROM "
+        "(SELECT DISTINCT entity, day FROM requests) r JOIN panel p ON p.entity = r.entity "
+        "AND p.day <= r.day + 1 AND p.day > r.day - 14 UNION ALL "
+        "SELECT DISTINCT entity, day, 'Predicted tomorrow', day + 1, predicted FROM decided WHERE predicted IS NOT NULL)",
+        _ACTUAL,
+        sql.REQUESTS,
+        _DECIDED,
+    )
+)
+def baseline_chart(spark, sf_dir):
+    """History, actual and forecast points of all requests."""
+    panel = panel_rows(status_store(spark, sf_dir), SPEC)
+    requests = order_requests(spark, sf_dir).select(*SPEC.key).distinct()
+    return comparable(history_chart_rows(requests, panel, SPEC, persistence_forecast(spark, sf_dir)))

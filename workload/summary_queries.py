@@ -101,6 +101,31 @@ def correlations(spark, sf_dir):
     return comparable(summary.correlations(status_panel(spark, sf_dir), CORRELATED, complete=True))
 
 
+#: Scoring features have NULLs where history is short; one more column gets NaN on some days.
+MASKED = ("price_mean_lag1", "price_mean_lag2", "tax_change", "price_avg_7d", "qty_gaps")
+
+
+@query(
+    sql.on_windowed(
+        "a:s b:s corr:d",
+        "("
+        + " UNION ALL ".join(
+            f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) FILTER (NOT isnan({a}) AND NOT isnan({b})) AS corr FROM gapped"
+            for a, b in combinations(MASKED, 2)
+        )
+        + ")",
+        "gapped AS (SELECT *, CASE WHEN day_of_year % 5 = 0 THEN 'NaN'::DOUBLE WHEN day_of_year % 5 = 1 THEN NULL "
+        "ELSE qty_mean END AS qty_gaps FROM windowed)",
+    )
+)
+def correlations_with_gaps(spark, sf_dir):
+    """Each pair over the rows where both values exist."""
+    place = F.col("day_of_year") % 5
+    gaps = F.when(place == 0, float("nan")).when(place > 1, F.col("qty_mean"))
+    rows = scoring_features(status_panel(spark, sf_dir), SPEC).withColumn("qty_gaps", gaps)
+    return comparable(summary.correlations(rows, MASKED))
+
+
 @query(
     sql.on_panel(
         "column:s " + " ".join(f"{c}:d" for c in CORRELATED),
