@@ -34,8 +34,9 @@ NEVER = "Baseline (always dry)"
 SAME_FLAG = "Baseline (rain today -> rain tomorrow)"
 
 # Partitions of the training rows. Bagging follows partitions and row order, so the number is
-# fixed and does not depend on the machine; give more for tables of many gigabytes.
-PARTITIONS = 16
+# fixed and does not depend on the machine; give more for tables of many gigabytes. Every
+# partition sends the statistics of every node it meets, so small tables want few.
+PARTITIONS = 8
 
 
 @dataclass

@@ -328,6 +328,12 @@ def model_seconds(spark, sf_dir):
 
 
 TREES_PER_BATCH = 20
+#: The statistics of a deep forest's many nodes are sent once per partition of the rows.
+DEEP_PARTITIONS = 4
+
+
+def _deep_build(trees, seed):
+    return models.deep_forest_regressor(trees, seed, maxMemoryInMB=1024)
 
 
 def _deep_forest(spark, sf_dir):
@@ -335,10 +341,8 @@ def _deep_forest(spark, sf_dir):
     were trained on, so only the first query of an application trains them."""
     features = status_features(spark, sf_dir)
     folder = f"{catalogue(spark).root}/deep-forest-{sf_dir.strip('/').replace('/', '-')}"
-    with training.training_set(features, SPEC) as data:
-        forest, _ = ensembles.fit_in_batches(
-            data, models.deep_forest_regressor, models.DEEP_TREES, TREES_PER_BATCH, folder
-        )
+    with training.training_set(features, SPEC, partitions=DEEP_PARTITIONS) as data:
+        forest, _ = ensembles.fit_in_batches(data, _deep_build, models.DEEP_TREES, TREES_PER_BATCH, folder)
         return data.test, forest
 
 
