@@ -12,11 +12,16 @@ once; the windows of a hot minimiser travel to the bucket of the least hash of t
 `HOT_GRAM`-word parts, which most windows with words from outside the passage don't share. The set of hot minimisers is a bitmap of fixed size: a chance
 hit in it merely deals a minimiser's windows in that finer way, the result is the same. Equal
 strings of a task are sent once, with the places where they occur.
+
+The ranges found go back to their texts by a join, for which only texts that have any are
+shuffled. A bitmap over the texts' keys tells which; it has `BITS_PER_TEXT` bits for each of them up to
+a fixed size, and a chance hit in it merely shuffles a text that keeps all its words.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -34,6 +39,7 @@ from panelcast.llm.arrays import (
     word_bytes,
 )
 from panelcast.llm.columns import unused
+from panelcast.llm.storage import stored
 
 WINDOW = 50
 GRAM = 5
@@ -47,6 +53,10 @@ BUCKET_BYTES = 1 << 20
 LEAST_BUCKETS = 128
 FLUSH_BYTES = 24 << 20
 SECOND = 0xC2B2AE3D27D4EB4F
+BITS_PER_TEXT = 32
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
+#: Bits of one row of the bitmap functions.
+BITMAP_ROW = 8 * 4096
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None):
@@ -93,23 +103,41 @@ def _minimisers(batches):
 def hot_minimisers(docs: DataFrame) -> np.ndarray:
     """Bitmap of the slots of hot minimisers."""
     counts = docs.mapInArrow(_minimisers, "minimiser long, strings long")
+    sums = counts.groupBy("minimiser").agg(F.sum("strings").alias("strings"))
+    return _bitmap(sums.where(F.col("strings") > HOT_STRINGS), F.col("minimiser"), BITMAP_BITS)
+
+
+def _bitmap(rows: DataFrame, key, bits: int) -> np.ndarray:
+    """The set of slots `key` mod `bits`, in `bits` / 8 bytes."""
     # The bitmap functions count positions from 1.
-    at = (F.pmod("minimiser", F.lit(BITMAP_BITS)) + 1).alias("at")
     parts = (
-        counts.groupBy("minimiser")
-        .agg(F.sum("strings").alias("strings"))
-        .where(F.col("strings") > HOT_STRINGS)
-        .select(at)
+        rows.select((F.pmod(key, F.lit(bits)) + 1).alias("at"))
         .groupBy(F.expr("bitmap_bucket_number(at)").alias("part"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
-        .collect()
+        .toLocalIterator()
     )
-    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+    bitmap = np.zeros(max(bits, BITMAP_ROW) // 8, np.uint8)
     for row in parts:
         bitmap[(row.part - 1) * 4096 : row.part * 4096] |= np.frombuffer(row.bits, np.uint8)
     return bitmap
 
 
+def _affected(ranges: DataFrame, key):
+    """A column function: whether a text with this key may have ranges, and surely if it has."""
+    count = ranges.count()
+    bits = LEAST_BITS
+    while bits < min(count * BITS_PER_TEXT, MOST_BITS):
+        bits *= 2
+    bitmap = ranges.sparkSession.sparkContext.broadcast(_bitmap(ranges, key, bits))
+
+    @F.pandas_udf("boolean")
+    def hit(keys: pd.Series) -> pd.Series:
+        slot = keys.to_numpy().astype(np.int64) % bits
+        return pd.Series((bitmap.value[slot >> 3] >> (slot & 7) & 1).astype(bool))
+
+    return hit
+
+
 class _Parcel:
     """Super-k-mers of one task for one bucket: distinct strings and where they start."""
 
@@ -312,10 +340,15 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
         .agg(F.collect_list(F.struct("first", "end")).alias(found))
     )
+    ranges = stored(ranges, "ranges")
     rows = df.select(*keep).withColumn(key, F.xxhash64(text))
     same = (F.col(doc_id).cast("long") == F.col(own_id)) & (F.col(key) == F.col(own_key))
     none = F.expr("cast(array() AS array<struct<first:long,end:long>>)")
-    joined = rows.join(ranges, same, "left").withColumn(found, F.coalesce(found, none))
+    hit = _affected(ranges, F.xxhash64(own_id, own_key))
+    place = F.xxhash64(F.col(doc_id).cast("long"), key)
+    touched = rows.where(hit(place)).join(ranges, same, "left").withColumn(found, F.coalesce(found, none))
+    whole = rows.where(~hit(place)).withColumn(found, none)
+    joined = touched.select(*keep, found).unionByName(whole.select(*keep, found))
     schema = T.StructType([df.schema[c] for c in keep])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return joined.drop(own_id, own_key, key).mapInArrow(_cutter(text, keep, found), schema)
+    return joined.mapInArrow(_cutter(text, keep, found), schema)
