@@ -23,8 +23,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Kept states and parts; a full table starts anew, so memory is bounded.
-MAX_ENTRIES = 400_000
+#: Bytes of what a worker keeps: the transducer's tables, and the ids of known parts. A full
+#: table starts anew. Entries are counted by about what they take in memory.
+TRANSDUCER_BYTES, KNOWN_BYTES = 160 << 20, 64 << 20
+STATE_BYTES, MOVE_BYTES, FIT_BYTES, END_BYTES, PART_BYTES = 640, 360, 260, 160, 240
+#: Longer parts are not kept.
+LONGEST_PART = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -49,6 +53,11 @@ class Transducer:
         self.fits: dict[tuple[bytes, bytes], bool] = {}
         self.ends: dict[int, list[int]] = {}
 
+    def size(self) -> int:
+        """About how many bytes the tables take."""
+        kept = len(self.states) * STATE_BYTES + len(self.moves) * MOVE_BYTES
+        return kept + len(self.fits) * FIT_BYTES + len(self.ends) * END_BYTES
+
     def merged(self, data: bytes, below: int | None = None) -> list[bytes]:
         """Plain merging of lowest ranks (less than `below`); used on single tokens only."""
         below = len(self.ranks) if below is None else below
@@ -167,7 +176,7 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if max(len(self.moves), len(self.fits)) >= MAX_ENTRIES:
+        if self.size() >= TRANSDUCER_BYTES:
             self.clear()
         state, before, out, moves, fits = 0, b"", [], self.moves, self.fits
         for byte in piece:
@@ -195,6 +204,8 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.known_size = 0
+        self.by_id: list[bytes] | None = None
         self.source = (ranks, pattern)
         self.edge = regex.compile(r"(?<=\S) (?=\S)")
         self.odd = regex.compile(r"\s | \s|^ | $")
@@ -202,6 +213,14 @@ class Encoder:
     def __reduce__(self):
         return Encoder, self.source
 
+    def tokens(self) -> list[bytes]:
+        """The tokens by id; made when first asked for."""
+        if self.by_id is None:
+            self.by_id = [b""] * (max(self.transducer.ranks.values(), default=-1) + 1)
+            for token, number in self.transducer.ranks.items():
+                self.by_id[number] = token
+        return self.by_id
+
     def part(self, text: str) -> bytes:
         """Ids of the text between two cuts: one or several matches of the pattern."""
         if text.isascii() and text[1:].isalpha() and text[0] == " ":
@@ -221,10 +240,13 @@ class Encoder:
         return packed
 
     def keep(self, text: str, packed: bytes) -> None:
-        if len(self.known) >= MAX_ENTRIES:
+        if len(text) >= LONGEST_PART:
+            return
+        if self.known_size >= KNOWN_BYTES:
             self.known.clear()
-        if len(text) < 64:
-            self.known[text] = packed
+            self.known_size = 0
+        self.known[text] = packed
+        self.known_size += PART_BYTES + len(text) + len(packed)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -264,16 +286,18 @@ class Utf8Stream:
         return rest.decode("utf-8", self.errors)
 
 
-def _mapped(df: DataFrame, name: str, kind, function) -> DataFrame:
-    """`df` with column `name` (replaced if there), which `function` makes from a batch."""
-    keep = [c for c in df.columns if c != name]
+def _mapped(df: DataFrame, made: dict[str, str], function) -> DataFrame:
+    """`df` with the columns `made` (replaced if there), which `function` makes from a batch."""
+    keep = [c for c in df.columns if c not in made]
 
     def run(batches):
         for batch in batches:
-            columns = [*(batch.column(c) for c in keep), function(batch)]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, name])
+            columns = [*(batch.column(c) for c in keep), *function(batch)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *made])
 
-    schema = T.StructType([df.schema[c] for c in keep]).add(name, kind)
+    schema = T.StructType([df.schema[c] for c in keep])
+    for name, kind in made.items():
+        schema = schema.add(name, kind)
     return df.mapInArrow(run, schema)
 
 
@@ -281,26 +305,44 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
     """`df` with column `ids`: the tokens of each whole text, packed as little-endian unsigned
     32-bit integers. Null texts are empty. The driver reads the ranks and broadcasts them."""
     encoder = df.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
+    return _mapped(df, {ids: "binary"}, lambda batch: [_encoded(batch.column(text), encoder.value)])
 
-    def packed(batch):
-        one = encoder.value.encode
-        return pa.array([one(x or "") for x in batch.column(text).to_pylist()], pa.binary())
 
-    return _mapped(df, ids, "binary", packed)
+def _encoded(texts: pa.Array, encoder: Encoder) -> pa.Array:
+    return pa.array([encoder.encode(x or "") for x in texts.to_pylist()], pa.binary())
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """`df` with column `text`: the packed `ids` as text, decoded in blocks of tokens. Bytes that
     are no UTF-8 become U+FFFD; a null stays null."""
     tokens = df.sparkSession.sparkContext.broadcast({i: x for x, i in read_ranks(ranks_path).items()})
+    return _mapped(df, {text: "string"}, lambda batch: [_decoded(batch.column(ids), tokens.value)])
+
+
+def _decoded(packed_ids: pa.Array, tokens) -> pa.Array:
+    """Texts of packed ids; `tokens` maps an id to its bytes."""
 
     def one(packed: bytes | None) -> str | None:
         if packed is None:
             return None
-        stream, out, known = Utf8Stream(), [], tokens.value
+        stream, out = Utf8Stream(), []
         for at in range(0, len(packed), 1 << 16):
             block = np.frombuffer(packed[at : at + (1 << 16)], "<u4").tolist()
-            out.append(stream.feed(b"".join([known[i] for i in block])))
+            out.append(stream.feed(b"".join([tokens[i] for i in block])))
         return "".join([*out, stream.close()])
 
-    return _mapped(df, text, "string", lambda batch: pa.array([one(x) for x in batch.column(ids).to_pylist()], pa.string()))
+    return pa.array([one(x) for x in packed_ids.to_pylist()], pa.string())
+
+
+def round_trip(
+    df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """`df` with the columns that `encode` and then `decode` give, from one Python worker per task
+    that holds the vocabulary once."""
+    encoder = df.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
+
+    def both(batch):
+        packed = _encoded(batch.column(text), encoder.value)
+        return [packed, _decoded(packed, encoder.value.tokens())]
+
+    return _mapped(df, {ids: "binary", decoded: "string"}, both)

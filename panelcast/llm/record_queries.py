@@ -26,8 +26,7 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = tokenizer_file(RANKS)
-    ids = bpe.encode(docs, ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
-    back = bpe.decode(ids, ranks)
+    back = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return back.select(
         "doc_id",
         F.expr("cast(octet_length(ids) div 4 AS long)").alias("n_tokens"),

@@ -223,3 +223,42 @@ def test_substrings(spark, odd, odd_rows, empty, monkeypatch):
         assert sorted(got, key=str) == want
         assert found.select("_key").distinct().first()[0] == "own"
     assert substring_dedup.dedup_substrings(empty).count() == 0
+
+
+def test_bpe_tables_turn_over_within_their_bytes(monkeypatch):
+    """Varied text fills the tables many times; they stay bounded and the ids right."""
+    import tracemalloc
+
+    monkeypatch.setattr(bpe, "TRANSDUCER_BYTES", 1 << 20)
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 1 << 19)
+    enc, own, pick = encoding(), bpe.Encoder(bpe.read_ranks(RANKS), P.PATTERN), random.Random(6)
+    letters, clears, clear = "abcdefghijklmnopqrstuvwxyzéèABC019-_", [], bpe.Transducer.clear
+    monkeypatch.setattr(bpe.Transducer, "clear", lambda self: (clears.append(1), clear(self))[1])
+    tracemalloc.start()
+    for _ in range(40):
+        text = " ".join("".join(pick.choice(letters) for _ in range(pick.randrange(3, 14))) for _ in range(300))
+        assert own.encode(text) == np.array(enc.encode_ordinary(text), "<u4").tobytes()
+        assert own.known_size < (1 << 19) + 1000
+        assert own.transducer.size() < (1 << 20) + 50_000
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(clears) > 5 and held < 6 << 20
+
+
+def test_bpe_round_trip_equals_both_halves(spark, odd):
+    one = bpe.round_trip(clashing(odd), RANKS, P.PATTERN)
+    two = bpe.decode(bpe.encode(clashing(odd), RANKS, P.PATTERN), RANKS)
+    assert sorted(one.columns) == sorted(two.columns)
+    columns = ["doc_id", "text", "ids", "decoded"]
+    assert sorted(map(str, one.select(columns).collect())) == sorted(map(str, two.select(columns).collect()))
+
+
+def test_substrings_whatever_the_bitmap_says(spark, odd, monkeypatch):
+    """Chance hits in the bitmap of texts with ranges do not change the result."""
+    def found():
+        return sorted(map(str, substring_dedup.dedup_substrings(clashing(odd)).collect()))
+
+    want = found()
+    monkeypatch.setattr(substring_dedup, "LEAST_BITS", 2)
+    monkeypatch.setattr(substring_dedup, "MOST_BITS", 2)
+    assert found() == want
