@@ -21,7 +21,6 @@ a fixed size, and a chance hit in it merely shuffles a text that keeps all its w
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -107,35 +106,37 @@ def hot_minimisers(docs: DataFrame) -> np.ndarray:
     return _bitmap(sums.where(F.col("strings") > HOT_STRINGS), F.col("minimiser"), BITMAP_BITS)
 
 
-def _bitmap(rows: DataFrame, key, bits: int) -> np.ndarray:
-    """The set of slots `key` mod `bits`, in `bits` / 8 bytes."""
-    # The bitmap functions count positions from 1.
-    parts = (
+def _bitmap_rows(rows: DataFrame, key, bits: int) -> DataFrame:
+    """(part, bits): the set of slots `key` mod `bits`, in rows of 4096 bytes, numbered from 1."""
+    return (
         rows.select((F.pmod(key, F.lit(bits)) + 1).alias("at"))
         .groupBy(F.expr("bitmap_bucket_number(at)").alias("part"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits"))
-        .toLocalIterator()
     )
+
+
+def _bitmap(rows: DataFrame, key, bits: int) -> np.ndarray:
+    """The set of slots `key` mod `bits`, in `bits` / 8 bytes."""
     bitmap = np.zeros(max(bits, BITMAP_ROW) // 8, np.uint8)
-    for row in parts:
+    for row in _bitmap_rows(rows, key, bits).collect():
         bitmap[(row.part - 1) * 4096 : row.part * 4096] |= np.frombuffer(row.bits, np.uint8)
     return bitmap
 
 
-def _affected(ranges: DataFrame, key):
-    """A column function: whether a text with this key may have ranges, and surely if it has."""
-    count = ranges.count()
-    bits = LEAST_BITS
+def _marked(rows: DataFrame, key, ranges: DataFrame, ranges_key, name: str) -> DataFrame:
+    """`rows` with column `name`: whether a row may have ranges, and surely if it has. The bitmap
+    meets the rows as a broadcast table of at most `MOST_BITS` / 8 bytes."""
+    count, bits = ranges.count(), LEAST_BITS
     while bits < min(count * BITS_PER_TEXT, MOST_BITS):
         bits *= 2
-    bitmap = ranges.sparkSession.sparkContext.broadcast(_bitmap(ranges, key, bits))
-
-    @F.pandas_udf("boolean")
-    def hit(keys: pd.Series) -> pd.Series:
-        slot = keys.to_numpy().astype(np.int64) % bits
-        return pd.Series((bitmap.value[slot >> 3] >> (slot & 7) & 1).astype(bool))
-
-    return hit
+    part, own, slot = unused(rows, "_part", "_bits", "_slot")
+    parts = _bitmap_rows(ranges, ranges_key, bits).select(F.col("part").alias(part), F.col("bits").alias(own))
+    placed = rows.withColumn(slot, F.pmod(key, F.lit(bits)))
+    joined = placed.join(F.broadcast(parts), F.expr(f"{slot} div {BITMAP_ROW} + 1") == F.col(part), "left")
+    byte = F.expr(f"cast(conv(hex(substring({own}, cast({slot} % {BITMAP_ROW} div 8 AS int) + 1, 1)), 16, 10) AS int)")
+    bit = F.expr(f"cast({slot} % 8 AS int)")
+    marked = F.coalesce(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return joined.withColumn(name, marked).drop(part, own, slot)
 
 
 class _Parcel:
@@ -334,7 +335,7 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     docs = df.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text")
     ).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    own_id, own_key, key, found = unused(df, "_id", "_key", "_text_key", "_ranges")
+    own_id, own_key, key, found, hit = unused(df, "_id", "_key", "_text_key", "_ranges", "_hit")
     ranges = (
         repeated_ranges(docs)
         .groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
@@ -344,10 +345,10 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = df.select(*keep).withColumn(key, F.xxhash64(text))
     same = (F.col(doc_id).cast("long") == F.col(own_id)) & (F.col(key) == F.col(own_key))
     none = F.expr("cast(array() AS array<struct<first:long,end:long>>)")
-    hit = _affected(ranges, F.xxhash64(own_id, own_key))
-    place = F.xxhash64(F.col(doc_id).cast("long"), key)
-    touched = rows.where(hit(place)).join(ranges, same, "left").withColumn(found, F.coalesce(found, none))
-    whole = rows.where(~hit(place)).withColumn(found, none)
+    place = F.xxhash64(F.col(doc_id).cast("long"), F.col(key))
+    rows = _marked(rows, place, ranges, F.xxhash64(own_id, own_key), hit)
+    touched = rows.where(F.col(hit)).join(ranges, same, "left").withColumn(found, F.coalesce(found, none))
+    whole = rows.where(~F.col(hit)).withColumn(found, none)
     joined = touched.select(*keep, found).unionByName(whole.select(*keep, found))
     schema = T.StructType([df.schema[c] for c in keep])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
