@@ -23,9 +23,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-#: Bytes of what a worker keeps: the transducer's tables, and the ids of known parts. A full
-#: table starts anew. Entries are counted by about what they take in memory.
-TRANSDUCER_BYTES, KNOWN_BYTES = 160 << 20, 64 << 20
+#: Bytes of what a worker keeps: the transducer's tables, which start anew when full, and the ids of
+#: known parts, of which those not met lately go. Entries are counted by about what they take.
+TRANSDUCER_BYTES, KNOWN_BYTES = 320 << 20, 128 << 20
 STATE_BYTES, MOVE_BYTES, FIT_BYTES, END_BYTES, PART_BYTES = 640, 360, 260, 160, 240
 #: Longer parts are not kept.
 LONGEST_PART = 64
@@ -203,7 +203,9 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer, self.pattern = Transducer(ranks), regex.compile(pattern)
+        # Two generations: parts of the older one come back when they are met again.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known_size = 0
         self.by_id: list[bytes] | None = None
         self.source = (ranks, pattern)
@@ -223,12 +225,16 @@ class Encoder:
 
     def part(self, text: str) -> bytes:
         """Ids of the text between two cuts: one or several matches of the pattern."""
+        packed = self.older.get(text)
+        if packed is not None:
+            self.keep(text, packed)
+            return packed
         if text.isascii() and text[1:].isalpha() and text[0] == " ":
             return self.match(text)
         matches = self.pattern.findall(text)
         if len(matches) == 1:
             return self.match(text)
-        packed = b"".join([self.known.get(x) or self.match(x) for x in matches])
+        packed = b"".join([self.known.get(x) or self.older.get(x) or self.match(x) for x in matches])
         if "\n" not in text:  # parts across lines hardly come again
             self.keep(text, packed)
         return packed
@@ -242,9 +248,8 @@ class Encoder:
     def keep(self, text: str, packed: bytes) -> None:
         if len(text) >= LONGEST_PART:
             return
-        if self.known_size >= KNOWN_BYTES:
-            self.known.clear()
-            self.known_size = 0
+        if self.known_size >= KNOWN_BYTES // 2:
+            self.older, self.known, self.known_size = self.known, {}, 0
         self.known[text] = packed
         self.known_size += PART_BYTES + len(text) + len(packed)
 
