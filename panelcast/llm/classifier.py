@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,8 +98,8 @@ def is_held_out(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS):
-    """At most `per_class` labelled texts of each class. Null labels are left out, repeated
-    ones averaged; a document listed twice gives one row per listing."""
+    """At most `per_class` labelled rows of each class. Null labels are left out, repeated
+    ones averaged; a document listed twice gives one row per listing, within that bound."""
     usable = (
         labels.select("doc_id", F.col("quality").cast("double").alias("quality"))
         .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -115,7 +115,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
     picked = F.broadcast(chosen[0].unionByName(chosen[1]))
     prior = usable.agg(F.avg("label")).first()[0]
     rows = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "label", "text")
-    return rows, prior
+    # Ids may have many rows. Each task drops what is beyond the bound before the shuffle.
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
+    bounded = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class)
+    return bounded.drop("place"), prior
 
 
 class NeighbourModel:
