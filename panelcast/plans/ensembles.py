@@ -10,7 +10,6 @@ their mean, weighted by trees, is the prediction.
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable
 from dataclasses import replace
@@ -18,11 +17,9 @@ from dataclasses import replace
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import RandomForestRegressionModel
-from pyspark.sql import DataFrame
 
 from panelcast.plans.models import FEATURES, ModelConfig
-from panelcast.plans.training import Trained, TrainingSet, fitting_rows, label_of
-from panelcast.storage import read_marker, write_marker
+from panelcast.plans.training import Trained, TrainingSet, fitting_rows, label_of, stored_stage
 
 BATCH = "forest_batch_"
 #: A configuration of so many trees with this seed.
@@ -47,20 +44,6 @@ def _batches(model: PipelineModel) -> list[RandomForestRegressionModel]:
     return [s for s in found if s.getPredictionCol().startswith(BATCH)]
 
 
-def _stored_batch(data: TrainingSet, rows: DataFrame, config: ModelConfig, path: str, made_of: str):
-    """The batch at `path` if it was made of the same rows and settings, else a new one there."""
-    spark = rows.sparkSession
-    estimator = config.build(FEATURES, label_of(data.spec, config.task))
-    settings = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
-    wanted = json.dumps({"rows": made_of, "settings": settings}, sort_keys=True)
-    if read_marker(spark, f"{path}/marker") != wanted:
-        model = estimator.fit(rows)
-        model.write().overwrite().save(f"{path}/model")
-        write_marker(spark, f"{path}/marker", wanted)
-        return model, True
-    return RandomForestRegressionModel.load(f"{path}/model"), False
-
-
 def fit_in_batches(
     data: TrainingSet, build: Build, trees: int, per_batch: int, path: str, seed: int = 42
 ) -> tuple[Trained, int]:
@@ -77,9 +60,10 @@ def fit_in_batches(
         raise ValueError("only forests for values are averaged")
     prep, names, _ = data.prepared[configs[0].centred]
     rows = fitting_rows(data, configs[0])
-    made_of, fitted, stages = data.rows_fingerprint(), 0, []
+    made_of, fitted, stages = f"{data.rows_fingerprint()};{data.partitions}", 0, []
+    label = label_of(data.spec, "value")
     for i, config in enumerate(configs):
-        model, new = _stored_batch(data, rows, config, f"{path}/batch-{i:04d}", made_of)
+        model, new = stored_stage(config.build(FEATURES, label), rows, f"{path}/batch-{i:04d}", made_of)
         stages.append(model.setPredictionCol(f"{BATCH}{i}"))
         fitted += new
     total = " + ".join(f"{BATCH}{i} * {size}" for i, size in enumerate(sizes))

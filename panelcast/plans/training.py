@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
@@ -9,7 +10,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
+from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,13 @@ from panelcast.plans.models import (
 )
 from panelcast.sources.writers import RESULTS, write_features
 from panelcast.spec import PanelSpec
-from panelcast.storage import ensure_checkpoints, fresh_path, table_fingerprint
+from panelcast.storage import (
+    ensure_checkpoints,
+    fresh_path,
+    read_marker,
+    table_fingerprint,
+    write_marker,
+)
 
 # Task and baseline names in results files.
 VALUE_TASK, FLAG_TASK = "temperature", "rain"
@@ -55,9 +62,21 @@ class TrainingSet:
     numeric: list[str]
     test: DataFrame
     train: DataFrame
+    partitions: int
     prepared: dict[bool, tuple[PipelineModel, list[str], DataFrame]] = field(
         default_factory=dict
     )
+    prepared_tests: dict[bool, DataFrame] = field(default_factory=dict)
+
+    def test_rows(self, centred: bool) -> DataFrame:
+        """The test rows, prepared once for all models that take them, and kept like the
+        training rows."""
+        if centred not in self.prepared_tests:
+            rows = self.prepared[centred][0].transform(self.test)
+            labels = [label_of(self.spec, task) for task in ("value", "flag")]
+            kept = rows.select(*self.spec.key, FEATURES, *labels)
+            self.prepared_tests[centred] = kept.persist(StorageLevel.MEMORY_AND_DISK)
+        return self.prepared_tests[centred]
 
     @cached_property
     def _fingerprint(self) -> str:
@@ -109,7 +128,7 @@ def training_set(
     ensure_checkpoints(features.sparkSession)
     numeric = feature_names(features.columns, spec)
     train, test = time_split(features, spec)
-    data = TrainingSet(spec, numeric, test, train)
+    data = TrainingSet(spec, numeric, test, train, partitions)
     train = _spread(train, spec, partitions)
     value, flag = label_of(spec, "value"), label_of(spec, "flag")
     try:
@@ -118,9 +137,10 @@ def training_set(
             rows = prep.transform(train).withColumn(flag, F.col(flag).cast("double"))
             slim = rows.select(FEATURES, value, flag).persist(StorageLevel.MEMORY_AND_DISK)
             data.prepared[flavour] = (prep, input_names(rows), slim)
+            slim.count()  # fills the cache, so that no model's time includes it
         yield data
     finally:
-        for _, _, rows in data.prepared.values():
+        for rows in [rows for _, _, rows in data.prepared.values()] + list(data.prepared_tests.values()):
             rows.unpersist()
 
 
@@ -145,10 +165,40 @@ def fit(data: TrainingSet, config: ModelConfig) -> Trained:
     return Trained(config, model, names, time.monotonic() - started)
 
 
+def stored_stage(estimator: Estimator, rows: DataFrame, path: str, made_of: str) -> tuple[Model, bool]:
+    """The fitted model at ``path`` if it was made of the same rows (``made_of``) and settings, else a new
+    one that is stored there; and whether it was fitted now. The marker is written last."""
+    spark = rows.sparkSession
+    settings = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
+    wanted = json.dumps({"kind": type(estimator).__name__, "rows": made_of, "settings": settings}, sort_keys=True)
+    if read_marker(spark, f"{path}/marker") == wanted:
+        return PipelineModel.load(f"{path}/model").stages[0], False
+    fitted = estimator.fit(rows)
+    PipelineModel([fitted]).write().overwrite().save(f"{path}/model")
+    write_marker(spark, f"{path}/marker", wanted)
+    return fitted, True
+
+
+def fit_stored(data: TrainingSet, config: ModelConfig, folder: str) -> Trained:
+    """:func:`fit`, unless ``folder`` has the model already, fitted to the same rows with the same settings."""
+    started = time.monotonic()
+    prep, names, _ = data.prepared[config.centred]
+    estimator = config.build(FEATURES, label_of(data.spec, config.task))
+    made_of = f"{data.rows_fingerprint()};{data.partitions};{config.weights};{config.centred}"
+    name = f"{config.task}-{config.name}".lower().replace(" ", "-")
+    fitted, _ = stored_stage(estimator, fitting_rows(data, config), f"{folder}/{name}", made_of)
+    return Trained(config, PipelineModel([*prep.stages, fitted]), names, time.monotonic() - started)
+
+
 def predict(trained: Trained, rows: DataFrame) -> DataFrame:
     return trained.model.transform(rows)
 
 
+def predict_prepared(trained: Trained, rows: DataFrame) -> DataFrame:
+    """Predictions for rows that are prepared already, see :meth:`TrainingSet.test_rows`."""
+    return trained.model.stages[-1].transform(rows)
+
+
 def _metric_columns(spec: PanelSpec, task: str, prediction: str, digits: int | None):
     if task == "value":
         return regression_columns(label_of(spec, task), prediction, digits)
@@ -224,19 +274,20 @@ def leaderboard(
 ) -> DataFrame:
     """Baselines and models on the test years.
 
-    ``seconds`` covers fit, transform and metrics of one model; the shared preparation is
-    not in it.
+    ``seconds`` covers fit, transform and metrics of one model. The preparation that models share is
+    not in it: training and test rows are prepared and kept before the first model.
     """
     rows, spark = [], features.sparkSession
     with training_set(features, spec, [c.centred for c in configs]) as data:
         if baselines:
             rows += [(r, None) for r in baseline_rows(data.test, spec, digits).collect()]
+        for flavour in {c.centred for c in configs}:
+            data.test_rows(flavour).count()
         for config in configs:
             trained = fit(data, config)
             started = time.monotonic()
-            scored = evaluate(
-                predict(trained, data.test), spec, config.task, config.name, digits
-            ).first()
+            tested = predict_prepared(trained, data.test_rows(config.centred))
+            scored = evaluate(tested, spec, config.task, config.name, digits).first()
             rows.append((scored, round(trained.seconds + time.monotonic() - started, 1)))
     names = [f.strip().split(" ")[0] for f in RESULTS.split(",")]
     return spark.createDataFrame(

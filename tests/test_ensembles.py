@@ -95,6 +95,26 @@ def test_markers(spark):
     assert read_marker(spark, path) == "two"
 
 
+def test_a_stored_model_is_fitted_once(spark, features, monkeypatch):
+    folder, fits = fresh_path(spark, "models"), []
+    for config in (models.linear(), models.logistic(5), models.forest_classifier(3, 3)):
+        with training.training_set(features, WEATHER) as data:
+            first = training.fit_stored(data, config, folder)
+            plain = training.fit(data, config)
+        with training.training_set(features, WEATHER) as data:
+            with monkeypatch.context() as patch:
+                patch.setattr(training, "write_marker", lambda *a: fits.append(a))
+                again = training.fit_stored(data, config, folder)
+        assert predictions(first, data.test) == predictions(again, data.test) == predictions(plain, data.test)
+    assert fits == []
+    # Other rows, partitions or settings are other models.
+    for rows, parts, config in ((features.where("city = 'A'"), 8, models.linear()), (features, 3, models.linear()), (features, 8, models.logistic(6))):
+        with training.training_set(rows, WEATHER, partitions=parts) as data, monkeypatch.context() as patch:
+            patch.setattr(training, "write_marker", lambda *a: fits.append(a))
+            training.fit_stored(data, config, folder)
+    assert len(fits) == 3
+
+
 @pytest.fixture(scope="module")
 def saved(spark, features):
     with training.training_set(features, WEATHER) as data:

@@ -277,6 +277,18 @@ def test_glance_asks_for_every_entity_present_on_the_day(spark):
     assert [tuple(r) for r in rows] == [("A", dt.date(2024, 1, 1))]
 
 
+def test_prepared_test_rows_give_the_same_predictions(features):
+    config = models.linear()
+    with training.training_set(features, WEATHER) as data:
+        trained = training.fit(data, config)
+        rows = data.test_rows(False)
+        assert data.test_rows(False) is rows and rows.is_cached
+        got = training.predict_prepared(trained, rows).orderBy("city", "date").collect()
+        want = training.predict(trained, data.test).orderBy("city", "date").collect()
+        assert [r.prediction for r in got] == [r.prediction for r in want]
+    assert not rows.is_cached
+
+
 def test_scatter_points(features, fitted):
     _, test = time_split(features, WEATHER)
     points = reports.actual_vs_predicted(

@@ -130,19 +130,19 @@ def model_leaderboard(spark, sf_dir):
     return training.leaderboard(features, SPEC, configs).drop("seconds")
 
 
-def _fitted(spark, sf_dir, *configs):
-    features = status_features(spark, sf_dir)
-    with training.training_set(features, SPEC, [c.centred for c in configs]) as data:
-        return data.test, [training.fit(data, c) for c in configs]
+def _model_folder(spark, sf_dir):
+    return f"{catalogue(spark).root}/models-{sf_dir.strip('/').replace('/', '-')}"
+
+
+def _stored(spark, sf_dir, *configs):
+    """Fitted once per application: several queries look at the same models."""
+    with training.training_set(status_features(spark, sf_dir), SPEC) as data:
+        folder = _model_folder(spark, sf_dir)
+        return data.test, [training.fit_stored(data, c, folder) for c in configs]
 
 
 def _forests(spark, sf_dir):
-    return _fitted(
-        spark,
-        sf_dir,
-        models.forest_regressor(),
-        models.forest_classifier(),
-    )
+    return _stored(spark, sf_dir, models.forest_regressor(), models.forest_classifier())
 
 
 @query()
@@ -164,7 +164,7 @@ POINTS = 2000
 @query()
 def actual_vs_predicted_sample(spark, sf_dir):
     """The points are drawn before they are predicted."""
-    test, (regressor,) = _fitted(spark, sf_dir, models.forest_regressor())
+    test, (regressor,) = _stored(spark, sf_dir, models.forest_regressor())
     drawn = sample_rows(test, SPEC.key, POINTS, strict=False)
     predicted = training.predict(regressor, drawn)
     return comparable(reports.actual_vs_predicted(predicted, SPEC, rows=POINTS, strict=False))
@@ -204,7 +204,7 @@ def sample_per_entity(spark, sf_dir):
 
 @query()
 def model_confusion_matrix(spark, sf_dir):
-    test, (classifier,) = _fitted(spark, sf_dir, models.forest_classifier())
+    test, (classifier,) = _stored(spark, sf_dir, models.forest_classifier())
     return confusion_matrix(
         training.predict(classifier, test), SPEC.flag_target.alias, "prediction"
     )
@@ -340,7 +340,7 @@ def _deep_forest(spark, sf_dir):
     """The deep forest and the test rows. Batches are kept with the stored tables, by what they
     were trained on, so only the first query of an application trains them."""
     features = status_features(spark, sf_dir)
-    folder = f"{catalogue(spark).root}/deep-forest-{sf_dir.strip('/').replace('/', '-')}"
+    folder = f"{_model_folder(spark, sf_dir)}/deep-forest"
     with training.training_set(features, SPEC, partitions=DEEP_PARTITIONS) as data:
         forest, _ = ensembles.fit_in_batches(data, _deep_build, models.DEEP_TREES, TREES_PER_BATCH, folder)
         return data.test, forest
