@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -54,7 +55,7 @@ def test_top_k_against_all_pairs(spark):
     rows += [(i, rows[5][1]) for i in range(300, 340)] + [(7, rows[7][1]), (400, None), (401, [1.0, None]), (500, [float("nan")] * 8), (None, rows[1][1]), (600, [0.5, 0.25])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1)).repartition(3)
     found = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in vector_search.top_k(df, lambda v: v % 100 == 0).collect()}
-    usable = {(i, tuple(v)) for i, v in rows if i is not None and v and len(v) == 8 and not np.isnan([np.nan if x is None else x for x in v]).any()}
+    usable = [(i, tuple(v)) for i, v in rows if i is not None and v and len(v) == 8 and not np.isnan([np.nan if x is None else x for x in v]).any()]
     whole = [(i, np.floor(1024 * np.array(v)).astype(int)) for i, v in usable]
     want = {}
     for q, x in whole:
@@ -65,6 +66,45 @@ def test_top_k_against_all_pairs(spark):
     assert vector_search.top_k(df.where("false"), lambda v: v % 100 == 0).count() == 0
 
 
+def brute_top_k(rows, k=10):
+    """(query_id, rank, vec_id, score) by the definition, in Python's integers, every row counted."""
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    found = {}
+    for q, x in whole:
+        if q % 100 == 0:
+            found.setdefault(q, []).extend((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in whole if i != q and len(x) == len(y))
+    return sorted((q, n + 1, i, -s) for q, own in found.items() for n, (s, i) in enumerate(sorted(own)[:k]))
+
+
+def test_top_k_counts_every_row(spark):
+    """Repeated rows, repeated queries, one vector under many ids, one huge component, vectors of other lengths."""
+    pick = random.Random(4)
+    rows = [(i, [pick.gauss(0, 1) for _ in range(6)]) for i in range(150)]
+    rows += [(7, [2.0] * 6)] * 3 + [(100, [1.0] * 6)] * 2 + [(1000 + i, [3.0] * 6) for i in range(60)] + [(1007, [3.0] * 6)] * 4
+    rows += [(300, [1e9, 0, 0, 0, 0, 1.0]), (301, [-1e9, 0, 0.5, 0, 0, 0]), (200, [1.0]), (201, [-2.0]), (202, [0.25]), (400, [1.0, 2.0])]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>").repartition(3)
+    found = sorted(tuple(r) for r in vector_search.top_k(df, lambda v: v % 100 == 0).collect())
+    assert found == brute_top_k(rows)
+
+
+def test_top_k_beyond_floats_and_longs(spark):
+    """Scores that doubles cannot tell apart are ranked exactly; those beyond a long are null."""
+    rows = [(0, [2.0**30 + 0.5, 1.0]), (100, [-1e200, 3.0])] + [(i, [2.0**20, i / 1024]) for i in range(1, 30)] + [(50, [1e200, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(tuple(r) for r in vector_search.top_k(df, lambda v: v % 100 == 0).collect())
+    assert found == [(q, n, i, s if abs(s) < 2**63 else None) for q, n, i, s in brute_top_k(rows)]
+    numbers = [0, 1, -1, 255, 256, -255, -256, -257, 65535, -65536, 2**70, -(2**70), 2**70 + 1, 10**300]
+    assert sorted(numbers) == sorted(numbers, key=vector_search.order_key)
+
+
+def test_top_k_leaves_exact_vectors_unread(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in v], i) for i, v in enumerate(np.floor(1024 * rng.normal(size=(4000, 16))))]
+    vectors = spark.createDataFrame(rows, "vec_id long, vector array<double>, row long")
+    read = vector_search.scored_pairs(vectors, lambda v: v % 100 == 0, 10).groupBy("query_id").count().collect()
+    assert len(read) == 40 and max(r["count"] for r in read) <= 64
+
+
 def test_packing(spark, odd, odd_rows, empty):
     once = odd.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     check_packed(packing.pack(clashing(once), tokenizer_file("word_bpe_49k.json")).collect(), {r[0]: r[1] for r in odd_rows if r[0] is not None})
