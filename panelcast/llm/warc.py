@@ -3,19 +3,20 @@
 An archive is kept as rows (archive, record_id, chunk, data, running_sha1). Chunk 0 is the
 header of a record, chunks 1 to n its payload in pieces of at most `CHUNK` bytes, and the last
 chunk its end; the data of a record's rows in order are its bytes in the file, and the records
-of an archive in order are the file. A payload is cut inside Spark and hashed piece by piece,
-so neither writer nor reader joins a whole record in Python. running_sha1 is the digest of the
+of an archive in order are the file. Headers and pieces are made by SQL functions; Python gets
+single pieces and hashes them, never a whole record. running_sha1 is the digest of the
 payload up to and with the row; readers check every piece against it.
 
-Every different row of pages (page_id, url, html) is a record. Rows that are equal in all three
-are one with their number in X-Copies, and the reader returns as many rows.
+Every row of pages is a record. Rows that are equal in page_id, url and html are numbered in their
+records' names, and all are responses or revisits alike. Urls come back as they were, null and
+empty ones apart; a null html is an empty payload. Columns of other names play no part.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import re
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,34 +66,40 @@ def record_name(page_id, sha1, url):
     return F.concat(F.lit("urn:page:"), page, F.lit(":"), sha1, F.lit(":"), address)
 
 
-def _headers(batches):
-    for batch in batches:
-        out = []
-        for x in batch.to_pylist():
-            revisit, sha1 = x["refers_id"] is not None, x["record_id"].split(":")[3]
-            lines = [
-                "WARC/1.1",
-                f"WARC-Type: {'revisit' if revisit else 'response'}",
-                f"WARC-Record-ID: <{x['record_id']}>",
-                f"WARC-Date: {DATE}",
-                f"WARC-Payload-Digest: sha1:{base32_sha1(sha1)}",
-                f"X-Payload-Bytes: {x['payload_bytes']}",
-            ]
-            if x["copies"] > 1:
-                lines.append(f"X-Copies: {x['copies']}")
-            if x["url"]:
-                # Characters that could end a header line are percent-encoded.
-                url = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", x["url"])
-                lines.append(f"WARC-Target-URI: {url}")
-            if revisit:
-                lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-                lines.append(f"WARC-Refers-To: <{x['refers_id']}>")
-            lines.append(f"Content-Length: {0 if revisit else x['payload_bytes']}")
-            out.append(("\r\n".join(lines) + "\r\n\r\n").encode())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("record_id"), batch.column("refers_id"), pa.array(out, pa.binary()), batch.column("html")],
-            ["record_id", "refers_id", "header", "html"],
-        )
+def _base32(sha1):
+    """Upper-case base 32 of a SHA-1 in hex: 20 bits are five hex digits and four of base 32."""
+    parts = [F.lpad(F.conv(F.substring(sha1, at, 5), 16, 32), 4, "0") for at in range(1, 41, 5)]
+    return F.translate(F.concat(*parts), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+
+
+def _escaped(url):
+    """The url with the characters that could end a header line, and %, percent-encoded."""
+    for character in ["%", *map(chr, range(0x21)), "\x7f"]:
+        url = F.replace(url, F.lit(character), F.lit(f"%{ord(character):02X}"))
+    return url
+
+
+def _header():
+    """The header of a record, from its narrow columns only."""
+    end, revisit = "\r\n", F.col("refers_id").isNotNull()
+    profile = "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+    size = F.col("payload_bytes").cast("string")
+    lines = F.concat(
+        F.lit(f"WARC/1.1{end}WARC-Type: "),
+        F.when(revisit, "revisit").otherwise("response"),
+        F.lit(f"{end}WARC-Record-ID: <"),
+        F.col("record_id"),
+        F.lit(f">{end}WARC-Date: {DATE}{end}WARC-Payload-Digest: sha1:"),
+        _base32(F.split("record_id", ":")[3]),
+        F.lit(f"{end}X-Payload-Bytes: "),
+        size,
+        F.coalesce(F.concat(F.lit(f"{end}WARC-Target-URI: "), _escaped(F.col("url"))), F.lit("")),
+        F.when(revisit, F.concat(F.lit(f"{end}{profile}{end}WARC-Refers-To: <"), F.col("refers_id"), F.lit(">"))).otherwise(""),
+        F.lit(f"{end}Content-Length: "),
+        F.when(revisit, "0").otherwise(size),
+        F.lit(end + end),
+    )
+    return lines.cast("binary")
 
 
 def _running(batches):
@@ -114,6 +121,18 @@ def _running(batches):
         )
 
 
+def _piece(payload, chunk):
+    """Header, piece `chunk` of the payload, or the end of a record."""
+    whole, start = F.octet_length(payload), (chunk - 1) * CHUNK
+    data = (
+        F.when(chunk == 0, _header())
+        .when(start < whole, F.substring(payload, start + 1, F.lit(CHUNK)))
+        .otherwise(F.lit(b"\r\n\r\n"))
+    )
+    kind = F.when(chunk == 0, 0).when(start < whole, 1).otherwise(2)
+    return F.struct(kind.alias("kind"), data.alias("data"))
+
+
 def chunk_rows(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """The chunk table of the records of `pages` (columns page_id, url, html). Payloads are
     shuffled once: the join finds them already dealt and sorted by record_id."""
@@ -125,19 +144,19 @@ def chunk_rows(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFram
         F.first("url").alias("url"), F.first("html").alias("html"), F.count("*").alias("copies")
     )
     size = F.octet_length("html").cast("long").alias("payload_bytes")
-    named = own.join(revisits, "record_id", "left").select("record_id", "url", size, "copies", "refers_id", "html")
-    made = named.mapInArrow(_headers, "record_id string, refers_id string, header binary, html string")
     payload = F.when(F.col("refers_id").isNull(), F.col("html")).otherwise("").cast("binary")
-    pieces = F.expr(f"cast((octet_length(payload) + {CHUNK - 1}) div {CHUNK} AS int)")
-    cut = made.select("record_id", "header", payload.alias("payload")).withColumn("n", pieces)
-    cut = cut.select("record_id", "header", "payload", "n", F.explode(F.expr("sequence(0, n + 1)")).alias("chunk"))
-    data = (
-        F.when(F.col("chunk") == 0, F.col("header"))
-        .when(F.col("chunk") <= F.col("n"), F.expr(f"substring(payload, (chunk - 1) * {CHUNK} + 1, {CHUNK})"))
-        .otherwise(F.lit("\r\n\r\n").cast("binary"))
+    named = own.join(revisits, "record_id", "left").select(
+        F.explode(F.expr("sequence(1L, copies)")).alias("copy"), "record_id", "url", size, "refers_id", payload.alias("payload")
     )
-    kind = F.when(F.col("chunk") == 0, 0).when(F.col("chunk") <= F.col("n"), 1).otherwise(2)
-    rows = cut.select(F.spark_partition_id().alias("archive"), "record_id", "chunk", kind.alias("kind"), data.alias("data"))
+    # Copies are equal rows; a record is named by its number among them, and revisits name the first.
+    named = named.withColumn("record_id", F.concat("record_id", F.lit(":"), "copy"))
+    named = named.withColumn("refers_id", F.concat("refers_id", F.lit(":1")))
+    # One list of all pieces: the payload is taken from its row once, not for each of them.
+    last = f"cast((octet_length(payload) + {CHUNK - 1}) div {CHUNK} AS int) + 1"
+    numbers = F.expr(f"sequence(0, {last})")
+    pieces = F.transform(F.array("payload"), lambda p: F.transform(numbers, lambda chunk: _piece(p, chunk)))[0]
+    cut = named.select("record_id", F.posexplode(pieces).alias("chunk", "piece"))
+    rows = cut.select(F.spark_partition_id().alias("archive"), "record_id", "chunk", "piece.kind", "piece.data")
     return rows.mapInArrow(_running, "archive int, record_id string, chunk int, data binary, running_sha1 binary")
 
 
@@ -147,8 +166,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
 
 def _parsed(batches):
     """One row per record from its chunks, which follow each other in order."""
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "copies"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     head, digest, left = {}, None, 0
 
     def page_of(urn):
@@ -178,16 +197,15 @@ def _parsed(batches):
                 response = head["WARC-Type"] == "response"
                 if response and base64.b32encode(digest.digest()).decode() != named:
                     raise ValueError(f"the payload of {head['WARC-Record-ID']} differs from its digest")
-                refers = head.get("WARC-Refers-To")
+                refers, url = head.get("WARC-Refers-To"), head.get("WARC-Target-URI")
                 out.append(
                     (
                         page_of(head["WARC-Record-ID"]),
-                        head.get("WARC-Target-URI"),
+                        None if url is None else unquote(url),
                         int(head["X-Payload-Bytes"]),
                         named,
                         head["WARC-Type"],
                         page_of(refers) if refers else None,
-                        int(head.get("X-Copies", 1)),
                     )
                 )
         columns = list(zip(*out, strict=True)) or [()] * len(names)
@@ -195,13 +213,12 @@ def _parsed(batches):
 
 
 def read_archives(spark, path: str) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of all pages: a
-    record's row as often as it has copies. A damaged record fails the job."""
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of every record. A
+    damaged record fails the job."""
     schema = "archive int, record_id string, chunk int, data binary, running_sha1 binary"
     rows = spark.read.schema(schema).parquet(path)
     ordered = rows.drop("archive").repartition("record_id").sortWithinPartitions("record_id", "chunk")
-    records = ordered.mapInArrow(
+    return ordered.mapInArrow(
         _parsed,
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, copies long",
+        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long",
     )
-    return records.withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).drop("copies", "_copy")

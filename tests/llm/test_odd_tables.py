@@ -188,6 +188,28 @@ def test_warc_returns_every_page_row(spark, tmp_path):
     assert {h.split("WARC-Refers-To: ")[1].split("\r\n")[0] for h in heads if "Refers-To: " in h} <= responses
 
 
+def test_warc_urls_come_back(spark, tmp_path):
+    urls = ["http://a/%20 b", "http://a/%2520%20b", "x\r\nWARC-Type: revisit", "é日🎉 %", "\t\x00\x7f", "", None, "a: b: c"]
+    pages = spark.createDataFrame([(i, u, str(i)) for i, u in enumerate(urls)], "page_id long, url string, html string")
+    warc.write_archives(clashing(pages).withColumn("payload", F.lit(b"own")).withColumn("copies", F.lit(9)), f"{tmp_path}/urls")
+    found = warc.read_archives(spark, f"{tmp_path}/urls").collect()
+    assert sorted((r.page_id, r.url) for r in found) == list(enumerate(urls))
+
+
+def test_warc_cuts_long_payloads(spark, tmp_path):
+    """Payloads at and about the borders of pieces, and one of many pieces."""
+    sizes = [0, 1, warc.CHUNK - 1, warc.CHUNK, warc.CHUNK + 1, 2 * warc.CHUNK, 40_000_003]
+    pages = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "page_id long, n int")
+    pages = pages.select("page_id", F.lit("u").alias("url"), F.expr("substring(repeat(concat(page_id, 'é-'), n), 1, n)").alias("html"))
+    payloads = {r.page_id: r.html.encode() for r in pages.collect()}
+    warc.write_archives(pages, f"{tmp_path}/long")
+    assert spark.read.parquet(f"{tmp_path}/long").agg(F.max(F.octet_length("data"))).first()[0] <= warc.CHUNK
+    for r in warc.read_archives(spark, f"{tmp_path}/long").collect():
+        own = payloads.pop(r.page_id)
+        assert r.payload_bytes == len(own) and r.payload_digest == warc.base32_sha1(hashlib.sha1(own).hexdigest())
+    assert not payloads
+
+
 def test_near_duplicates(spark, odd, odd_rows, empty):
     found = near_dedup.near_duplicates(clashing(odd)).select("doc_id", "class_id").collect()
     assert len(found) == len(odd_rows)

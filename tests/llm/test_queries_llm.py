@@ -167,7 +167,8 @@ def test_chunks_are_whole_records(spark):
     )
     rows = warc.chunk_rows(pages).collect()
     assert max(len(r.data) for r in rows) <= warc.CHUNK
-    assert sorted(r.record_id.split(":")[2] for r in rows if r.chunk == 0) == ["1", "2", "3", "4", "none"]
+    assert sorted(r.record_id.split(":")[2] for r in rows if r.chunk == 0) == ["1", "2", "3", "4", "4", "none"]
+    assert len({r.record_id for r in rows}) == 6
     record = sorted((r for r in rows if r.record_id.startswith("urn:page:2:")), key=lambda r: r.chunk)
     header, payload = b"".join(r.data for r in record).split(b"\r\n\r\n", 1)
     assert payload == ("é" * 100_000).encode() + b"\r\n\r\n"
