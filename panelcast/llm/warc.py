@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.llm.storage import stored
+
 CHUNK = 64 << 10
 #: Payloads at least this long are written once; others refer to them.
 MIN_REVISIT_BYTES = 0
@@ -164,61 +166,110 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
     chunk_rows(pages, min_bytes).write.parquet(path)
 
 
-def _parsed(batches):
-    """One row per record from its chunks, which follow each other in order."""
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-    head, digest, left = {}, None, 0
+class _Reader:
+    """Takes the rows of records one by one and checks each piece against its digest."""
+
+    def __init__(self):
+        self.record = None
+
+    def expects(self, record, chunk) -> bool:
+        """Whether the row begins a record or follows the row before it."""
+        return chunk == 0 or (record == self.record and chunk == self.chunk + 1)
+
+    def take(self, record, chunk, data, running):
+        """A record's result at its last row, else None."""
+        self.chunk = chunk
+        if chunk == 0:
+            lines = data.to_pybytes().decode().split("\r\n")
+            if lines[0] != "WARC/1.1":
+                raise ValueError("a record does not begin with its version line")
+            self.head = dict(line.split(": ", 1) for line in lines[1:] if line)
+            self.record, self.left, self.digest = record, int(self.head["Content-Length"]), hashlib.sha1()
+        elif self.left:
+            self.digest.update(data)
+            self.left -= len(data)
+            if self.digest.digest() != running:
+                raise ValueError(f"a chunk of {record} differs from its digest")
+        else:
+            if data.to_pybytes() != b"\r\n\r\n":
+                raise ValueError(f"{record} has no end")
+            self.record = None
+            return self.result()
+
+    def result(self):
+        head = self.head
+        named = head["WARC-Payload-Digest"].removeprefix("sha1:")
+        if head["WARC-Type"] == "response" and base64.b32encode(self.digest.digest()).decode() != named:
+            raise ValueError(f"the payload of {head['WARC-Record-ID']} differs from its digest")
+        refers, url = head.get("WARC-Refers-To"), head.get("WARC-Target-URI")
+        return (
+            _page_of(head["WARC-Record-ID"]),
+            None if url is None else unquote(url),
+            int(head["X-Payload-Bytes"]),
+            named,
+            head["WARC-Type"],
+            _page_of(refers) if refers else None,
+        )
 
-    def page_of(urn):
-        number = urn.strip("<>").split(":")[2]
-        return None if number == "none" else int(number)
 
-    for batch in batches:
-        out = []
-        numbers, pieces, running = (batch.column(c) for c in ("chunk", "data", "running_sha1"))
-        for at in range(batch.num_rows):
-            piece = pieces[at].as_buffer()
-            if numbers[at].as_py() == 0:
-                lines = piece.to_pybytes().decode().split("\r\n")
-                if lines[0] != "WARC/1.1":
-                    raise ValueError("a record does not begin with its version line")
-                head = dict(line.split(": ", 1) for line in lines[1:] if line)
-                left, digest = int(head["Content-Length"]), hashlib.sha1()
-            elif left:
-                digest.update(piece)
-                left -= len(piece)
-                if digest.digest() != running[at].as_py():
-                    raise ValueError(f"a chunk of {head['WARC-Record-ID']} differs from its digest")
-            else:
-                if piece.to_pybytes() != b"\r\n\r\n":
-                    raise ValueError(f"{head['WARC-Record-ID']} has no end")
-                named = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                response = head["WARC-Type"] == "response"
-                if response and base64.b32encode(digest.digest()).decode() != named:
-                    raise ValueError(f"the payload of {head['WARC-Record-ID']} differs from its digest")
-                refers, url = head.get("WARC-Refers-To"), head.get("WARC-Target-URI")
-                out.append(
-                    (
-                        page_of(head["WARC-Record-ID"]),
-                        None if url is None else unquote(url),
-                        int(head["X-Payload-Bytes"]),
-                        named,
-                        head["WARC-Type"],
-                        page_of(refers) if refers else None,
-                    )
-                )
+def _page_of(urn):
+    number = urn.strip("<>").split(":")[2]
+    return None if number == "none" else int(number)
+
+
+RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def _parsed(whole: bool):
+    """One row per record whose rows follow each other in order. Of others the name, as `cut`;
+    where records have to be whole they fail the job."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    names = [*(c.split()[0] for c in RECORD.split(", ")), "cut"]
+
+    def cut(record):
+        if whole:
+            raise ValueError(f"rows of {record} are missing")
+        return (None,) * 6 + (record,)
+
+    def batch_of(out):
         columns = list(zip(*out, strict=True)) or [()] * len(names)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    def run(batches):
+        reader, last = _Reader(), None
+        for batch in batches:
+            out = []
+            records, numbers, pieces, running = (batch.column(c) for c in ("record_id", "chunk", "data", "running_sha1"))
+            for at in range(batch.num_rows):
+                record, chunk = records[at].as_py(), numbers[at].as_py()
+                if not reader.expects(record, chunk) or (chunk == 0 and reader.record is not None):
+                    if reader.record not in (None, record):
+                        out.append(cut(reader.record))
+                    if chunk:
+                        if record != last:
+                            out.append(cut(record))
+                        reader.record, last = None, record
+                        continue
+                found = reader.take(record, chunk, pieces[at].as_buffer(), running[at].as_py())
+                if found:
+                    out.append((*found, None))
+            yield batch_of(out)
+        if reader.record is not None:
+            yield batch_of([cut(reader.record)])
+
+    return run
 
 
 def read_archives(spark, path: str) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of every record. A
-    damaged record fails the job."""
+    damaged record fails the job, also one without all its rows.
+
+    Records are read where they lie. Only those that a border between two tasks cuts, about one a
+    task, are read again and brought together by a shuffle."""
     schema = "archive int, record_id string, chunk int, data binary, running_sha1 binary"
-    rows = spark.read.schema(schema).parquet(path)
-    ordered = rows.drop("archive").repartition("record_id").sortWithinPartitions("record_id", "chunk")
-    return ordered.mapInArrow(
-        _parsed,
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long",
-    )
+    rows = spark.read.schema(schema).parquet(path).drop("archive")
+    found = stored(rows.mapInArrow(_parsed(False), f"{RECORD}, cut string"), "records")
+    cut = stored(found.where("cut IS NOT NULL").select(F.col("cut").alias("record_id")).distinct(), "cut_records")
+    ordered = rows.join(cut, "record_id", "left_semi").repartition("record_id").sortWithinPartitions("record_id", "chunk")
+    joined = ordered.mapInArrow(_parsed(True), f"{RECORD}, cut string")
+    return found.where("cut IS NULL").unionByName(joined).drop("cut")

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 from pyspark.sql import functions as F
 from test_queries_llm import check_packed, encoding, whole_ids
 
@@ -196,6 +197,23 @@ def test_warc_urls_come_back(spark, tmp_path):
     assert sorted((r.page_id, r.url) for r in found) == list(enumerate(urls))
 
 
+def test_warc_records_in_pieces(spark, tmp_path):
+    """Records whose rows lie in several files and in any order are read whole; a missing row is an error."""
+    rows = [(i, "u", f"{i % 7}é" * (60_000 if i % 5 == 0 else i)) for i in range(40)] + [(3, "u", "x"), (3, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, f"{tmp_path}/whole")
+    want = sorted(map(str, warc.read_archives(spark, f"{tmp_path}/whole").collect()))
+    chunks = spark.read.parquet(f"{tmp_path}/whole")
+    assert len(want) == len(rows)
+    chunks.orderBy(F.rand(1)).repartition(5).write.parquet(f"{tmp_path}/mixed")
+    assert sorted(map(str, warc.read_archives(spark, f"{tmp_path}/mixed").collect())) == want
+    lost = chunks.where("not (record_id like 'urn:page:5:%' and chunk = 2)")
+    for at, part in enumerate((lost, chunks.where("not (record_id like 'urn:page:5:%' and chunk = 0)"))):
+        part.write.parquet(f"{tmp_path}/lost{at}")
+        with pytest.raises(Exception, match="are missing"):
+            warc.read_archives(spark, f"{tmp_path}/lost{at}").collect()
+
+
 def test_warc_cuts_long_payloads(spark, tmp_path):
     """Payloads at and about the borders of pieces, and one of many pieces."""
     sizes = [0, 1, warc.CHUNK - 1, warc.CHUNK, warc.CHUNK + 1, 2 * warc.CHUNK, 40_000_003]
