@@ -31,8 +31,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 IDF_SLOTS = 1 << 18
-#: The table of slots is added up in pieces of this many.
-PIECE = 1 << 12
 #: Slots of the table that orders shingles by frequency; a collision costs only time.
 ORDER_SLOTS = 1 << 20
 SAMPLE_BLOCK = 1 << 15
@@ -47,7 +45,7 @@ def _slots(data: np.ndarray, offsets: np.ndarray):
 
 
 def _frequencies(slots_of, size: int):
-    """Counts of `size` slots over a task's batches, as rows of `PIECE` slots."""
+    """(slot, n): counts of a task's slots that occur, and under -1 the number of its texts."""
 
     def run(batches):
         total, rows = np.zeros(size, np.int64), 0
@@ -55,35 +53,26 @@ def _frequencies(slots_of, size: int):
             rows += batch.num_rows
             for _, _, data, offsets in text_blocks(batch.column("text")):
                 total += np.bincount(slots_of(data, offsets), minlength=size)
-        pieces = total.reshape(-1, PIECE)
+        slots = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(range(len(pieces)), pa.int32()),
-                pa.array([rows] * len(pieces), pa.int64()),
-                pa.array([x.tobytes() for x in pieces], pa.binary()),
+                pa.array(np.append(slots, -1), pa.int32()),
+                pa.array(np.append(total[slots], rows), pa.int64()),
             ],
-            ["piece", "rows", "counts"],
+            ["slot", "n"],
         )
 
     return run
 
 
-def _add_pieces(key, table):
-    counts = sum(np.frombuffer(x, np.int64) for x in table.column("counts").to_pylist())
-    rows = sum(table.column("rows").to_pylist())
-    return pa.table({"piece": [key[0]], "rows": [rows], "counts": [counts.tobytes()]}).cast(
-        pa.schema([("piece", pa.int32()), ("rows", pa.int64()), ("counts", pa.binary())])
-    )
-
-
 def _counted(docs: DataFrame, slots_of, size: int) -> tuple[np.ndarray, int]:
     """Counts of all slots and the number of texts; a table of fixed size."""
-    schema = "piece int, rows long, counts binary"
-    pieces = docs.select("text").mapInArrow(_frequencies(slots_of, size), schema)
-    found = sorted(pieces.groupBy("piece").applyInArrow(_add_pieces, schema).collect())
-    if not found:
-        return np.zeros(size, np.int64), 0
-    return np.concatenate([np.frombuffer(r.counts, np.int64) for r in found]), found[0].rows
+    cells = docs.select("text").mapInArrow(_frequencies(slots_of, size), "slot int, n long")
+    found = cells.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slots, n = (found.column(c).to_numpy() for c in ("slot", "n"))
+    counts, known = np.zeros(size, np.int64), slots >= 0
+    counts[slots[known]] = n[known]
+    return counts, int(n[~known].sum())
 
 
 def _document_slots(data, offsets) -> np.ndarray:

@@ -342,3 +342,15 @@ def test_substrings_whatever_the_bitmap_says(spark, odd, monkeypatch):
     monkeypatch.setattr(substring_dedup, "LEAST_BITS", 2)
     monkeypatch.setattr(substring_dedup, "MOST_BITS", 2)
     assert found() == want
+
+
+def test_document_frequencies_of_words(spark, odd, odd_rows, empty):
+    """Every slot counts the texts that have one of its words, over all tasks."""
+    counts, rows = near_dedup._counted(odd.repartition(5), near_dedup._document_slots, near_dedup.IDF_SLOTS)
+    want = np.zeros(near_dedup.IDF_SLOTS, np.int64)
+    for _, text, *_ in odd_rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        want[near_dedup._document_slots(data, np.array([0, len(data)]))] += 1
+    assert rows == len(odd_rows) and (counts == want).all()
+    counts, rows = near_dedup._counted(empty, near_dedup._document_slots, near_dedup.IDF_SLOTS)
+    assert rows == 0 and not counts.any()
