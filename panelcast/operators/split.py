@@ -72,25 +72,29 @@ def balanced_weights(train: DataFrame, label: str) -> DataFrame:
     return counts.select(F.inline(F.array(*lines))).where("rows > 0")
 
 
-def with_class_weight(train: DataFrame, label: str) -> DataFrame:
-    """Add ``w``: neg/pos on positive rows, 1 on the others.
-
-    The two counts are one small job; a class without rows is an error.
-    """
+def _class_counts(train: DataFrame, label: str, one_class: bool):
     counts = class_weights(train, label).first()
-    if not counts["pos"] or not counts["neg"]:
+    found = (counts["pos"] > 0) + (counts["neg"] > 0)
+    if found < (1 if one_class else 2):
         raise ValueError(f"both classes of {label} need rows: {counts.asDict()}")
-    ratio = counts["neg"] / counts["pos"]
-    return train.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(ratio)).otherwise(F.lit(1.0)))
+    return counts
 
 
-def with_balanced_weight(train: DataFrame, label: str) -> DataFrame:
-    """Add ``w`` = n / (2 * rows of the row's class)."""
-    counts = class_weights(train, label).first()
-    if not counts["pos"] or not counts["neg"]:
-        raise ValueError(f"both classes of {label} need rows: {counts.asDict()}")
-    half = (counts["pos"] + counts["neg"]) / 2
-    weight = F.when(F.col(label) == 1, F.lit(half / counts["pos"])).otherwise(
-        F.lit(half / counts["neg"])
-    )
-    return train.withColumn(WEIGHT, weight)
+def with_class_weight(train: DataFrame, label: str, one_class: bool = False) -> DataFrame:
+    """Add ``w``: neg/pos on positive rows, 1 on the others.
+
+    The two counts are one small job; a class without rows is an error unless ``one_class``.
+    Positive rows alone then weigh neg/pos = 0, negative rows alone 1.
+    """
+    counts = _class_counts(train, label, one_class)
+    ratio = counts["neg"] / counts["pos"] if counts["pos"] else None
+    return train.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(ratio).cast("double")).otherwise(F.lit(1.0)))
+
+
+def with_balanced_weight(train: DataFrame, label: str, one_class: bool = False) -> DataFrame:
+    """Add ``w`` = n / (classes * rows of the row's class). A class without rows is an error
+    unless ``one_class``; rows of the other one then weigh 1."""
+    counts = _class_counts(train, label, one_class)
+    share = (counts["pos"] + counts["neg"]) / ((counts["pos"] > 0) + (counts["neg"] > 0))
+    weight = [share / counts[side] if counts[side] else None for side in ("pos", "neg")]
+    return train.withColumn(WEIGHT, F.when(F.col(label) == 1, F.lit(weight[0]).cast("double")).otherwise(F.lit(weight[1]).cast("double")))

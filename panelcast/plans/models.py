@@ -25,13 +25,15 @@ KEEP_NODES = {"cacheNodeIds": True}
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """``task`` is "value" or "flag"; ``weights`` is None, "ratio" or "balanced"."""
+    """``task`` is "value" or "flag"; ``weights`` is None, "ratio" or "balanced". With
+    ``two_classes`` the estimator is told that the label has two classes, whichever occur."""
 
     name: str
     task: str
     build: Callable[[str, str], Estimator]
     weights: str | None = None
     centred: bool = False
+    two_classes: bool = False
 
 
 def linear() -> ModelConfig:
@@ -119,6 +121,8 @@ def forest_classifier(
             **KEEP_NODES | params,
         ),
         weights=weights,
+        # From rows of one class the forest would count one, and have no score of the other.
+        two_classes=True,
     )
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from panelcast.operators.baselines import always_negative, persistence_flag, persistence_value
 from panelcast.operators.features import feature_names
 from panelcast.operators.metrics import BINARY, REGRESSION, binary_columns, regression_columns
-from panelcast.operators.split import time_split, with_balanced_weight, with_class_weight
+from panelcast.operators.split import WEIGHT, time_split, with_balanced_weight, with_class_weight
 from panelcast.plans.models import (
     FEATURES,
     ModelConfig,
@@ -45,6 +45,9 @@ SAME_FLAG = "Baseline (rain today -> rain tomorrow)"
 # partition sends the statistics of every node it meets, so small tables want few.
 PARTITIONS = 8
 
+# What Spark ML reads from a label column as its number of classes.
+TWO_CLASSES = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}
+
 
 @dataclass
 class Trained:
@@ -145,13 +148,20 @@ def training_set(
 
 
 def fitting_rows(data: TrainingSet, config: ModelConfig) -> DataFrame:
-    """The prepared rows, with the weights that the configuration asks for."""
+    """The prepared rows, with the weights that the configuration asks for.
+
+    Training rows may all be of one class, as where no day reaches the threshold: models then
+    forecast that class. Its rows weigh alike; 0, as neg/pos of positive rows, would leave nothing to fit.
+    """
     _, _, rows = data.prepared[config.centred]
     label = label_of(data.spec, config.task)
     if config.weights == "ratio":
-        return with_class_weight(rows, label)
+        rows = with_class_weight(rows, label, one_class=True)
+        rows = rows.withColumn(WEIGHT, F.when(F.col(WEIGHT) > 0, F.col(WEIGHT)).otherwise(F.lit(1.0)))
     if config.weights == "balanced":
-        return with_balanced_weight(rows, label)
+        rows = with_balanced_weight(rows, label, one_class=True)
+    if config.two_classes:
+        rows = rows.withColumn(label, F.col(label).alias(label, metadata=TWO_CLASSES))
     return rows
 
 

@@ -202,7 +202,7 @@ def balanced_weights(spark, sf_dir):
     )
 )
 def class_weight_totals(spark, sf_dir):
-    weighted = split.with_class_weight(_train(spark, sf_dir), "high_qty_tomorrow")
+    weighted = split.with_class_weight(_train(spark, sf_dir), "high_qty_tomorrow", one_class=True)
     return comparable(
         weighted.groupBy("high_qty_tomorrow").agg(
             F.count(F.lit(1)).alias("rows"), F.sum(split.WEIGHT).alias("weight")

@@ -425,7 +425,7 @@ def stump_split(spark, sf_dir):
     value, flag = SPEC.value_target.alias, SPEC.flag_target.alias
     found = [
         best_split(binned, numeric, value).withColumn("task", F.lit("value")),
-        best_split(with_class_weight(binned, flag), numeric, flag, WEIGHT).withColumn("task", F.lit("flag")),
+        best_split(with_class_weight(binned, flag, one_class=True), numeric, flag, WEIGHT).withColumn("task", F.lit("flag")),
     ]
     columns = ("task", "feature", "below", "above", "left_rows", "right_rows", "left_mean", "right_mean", "gain")
     return comparable(found[0].unionByName(found[1]).select(*columns))
