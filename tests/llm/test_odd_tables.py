@@ -123,6 +123,20 @@ def test_packing_of_added_tokens_in_any_case():
         assert np.frombuffer(packed, "<u4").tolist() == whole_ids(text)[:-1], text
 
 
+def test_words_before_marks_are_looked_up_apart():
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as definition:
+        encoder = packing.WordEncoder(definition.read())
+    encoder.encode(["una ?! !!"])
+    texts = ["(una) una", "ciÓn.. Σας!! e\u0301!! n\u0303a,!!", "it's' don't!' a' 's 'll.", "x<|endoftext|>!! x<|>! ＷＩＤＥ).",
+             "ﬁ. İ! ᾳ! \u0958? ǅ; ½! ²a! a²! 3.. a_ _a_ \u0301! a\u0338=\u0338!", "!!! ... ?!a 中文!! ｡｡ 한.\x1c. x\u00a0y!!"]
+    for text, packed in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == whole_ids(text)[:-1], text
+    # What has been met as a word and as marks is not tokenized again where they stand together.
+    met = []
+    encoder._direct = lambda texts: met.extend(texts) or []
+    assert encoder.encode(["una?! una!!"]) == encoder.encode(["una ?! una !!"]) and not met
+
+
 def test_best_fit_uses_the_fullest_bin():
     bins = packing.best_fit([(5, ["a"]), (3, ["b"]), (7, ["c"]), (2, ["d"]), (3, ["e"])], 10)
     assert sorted(x[0] for x in bins) == [10, 10]
