@@ -137,6 +137,39 @@ def test_words_before_marks_are_looked_up_apart():
     assert encoder.encode(["una?! una!!"]) == encoder.encode(["una ?! una !!"]) and not met
 
 
+def test_nearly_full_sequences_take_small_pieces(spark):
+    """Texts of two partitions: one leaves room for three tokens, the other has an empty text."""
+    rows = [(1, " ".join(["the"] * 2044)), (2, ""), (3, "the")]
+    for others in (rows[1:2], rows[1:]):
+        docs = spark.createDataFrame(spark.sparkContext.parallelize([rows[0], *others], 2), "doc_id long, text string")
+        packed = packing.pack(docs, tokenizer_file("word_bpe_49k.json")).collect()
+        check_packed(packed, {r[0]: r[1] for r in [rows[0], *others]})
+        assert len({r.sequence_id for r in packed}) == 1
+
+
+def test_bins_that_stay_behind_are_not_missed():
+    """Rounds that pass on only the emptiest bins need as many sequences as rounds that pass on all."""
+    rng = np.random.default_rng(5)
+
+    def packed(carry):
+        nodes = [packing.best_fit([(int(x), [{}]) for x in own]) for own in pieces]
+        done = 0
+        while True:
+            left = []
+            for bins in nodes:
+                closed = carry(bins)
+                done += sum(closed)
+                left.append([b for b, shut in zip(bins, closed, strict=True) if not shut])
+            if len(left) == 1:
+                return done + len(left[0])
+            groups = [sum(left[i : i + packing.FAN_IN], []) for i in range(0, len(left), packing.FAN_IN)]
+            nodes = [packing.best_fit(g) for g in groups]
+
+    for high in (300, 1100, 2047):
+        pieces = [rng.integers(1, high, 400) for _ in range(64)]
+        assert packed(packing._closed) <= packed(lambda bins: [False] * len(bins))
+
+
 def test_best_fit_uses_the_fullest_bin():
     bins = packing.best_fit([(5, ["a"]), (3, ["b"]), (7, ["c"]), (2, ["d"]), (3, ["e"])], 10)
     assert sorted(x[0] for x in bins) == [10, 10]
