@@ -28,12 +28,16 @@ def text_blocks(
     column: pa.Array, limit: int = BLOCK_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of consecutive rows of up to `limit` bytes, or of
-    one longer text. A null is an empty text."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    one longer text. A null is an empty text. Bytes of a string column without nulls are not copied."""
+    if not pa.types.is_string(column.type):
+        column = column.cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return
     _, offsets, data = column.buffers()
-    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    kind = np.int32 if pa.types.is_string(column.type) else np.int64
+    offsets = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):

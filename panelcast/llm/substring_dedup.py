@@ -20,6 +20,8 @@ a fixed size, and a chance hit in it merely shuffles a text that keeps all its w
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -38,7 +40,7 @@ from panelcast.llm.arrays import (
     word_bytes,
 )
 from panelcast.llm.columns import unused
-from panelcast.llm.storage import stored
+from panelcast.llm.storage import small_batches, stored
 
 WINDOW = 50
 GRAM = 5
@@ -51,6 +53,8 @@ BITMAP_BITS = 1 << 22
 BUCKET_BYTES = 1 << 20
 LEAST_BUCKETS = 128
 FLUSH_BYTES = 24 << 20
+#: Bytes of text whose words a task holds as arrays at a time.
+BLOCK = 1 << 19
 SECOND = 0xC2B2AE3D27D4EB4F
 BITS_PER_TEXT = 32
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
@@ -90,7 +94,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, hot: np.ndarray | None):
 def _minimisers(batches):
     """Number of distinct super-k-mers per minimiser, within a batch."""
     for batch in batches:
-        found = [_runs(data, at, None)[3:5] for _, _, data, at in text_blocks(batch.column("text"))]
+        found = [_runs(data, at, None)[3:5] for _, _, data, at in text_blocks(batch.column("text"), BLOCK)]
         keys, names = (np.concatenate([np.zeros(0, np.uint64), *(x[i] for x in found)]) for i in (0, 1))
         keys = keys[np.unique(names, return_index=True)[1]]
         keys, counts = np.unique(keys, return_counts=True)
@@ -144,10 +148,10 @@ class _Parcel:
 
     def __init__(self):
         self.strings: dict[bytes, int] = {}
-        self.places: list[int] = []
+        self.places = array("q")
 
     def add(self, string: bytes, row: int, start: int) -> int:
-        self.places += (self.strings.setdefault(string, len(self.strings)), row, start)
+        self.places.extend((self.strings.setdefault(string, len(self.strings)), row, start))
         return len(string)
 
     def packed(self, rows: np.ndarray, pack) -> tuple[bytes, bytes, bytes]:
@@ -163,10 +167,12 @@ def _dealer(hot, buckets: int):
 
         def flush():
             table = np.concatenate(rows)
-            packed = [x.packed(table, pack) for x in waiting.values()]
+            names, packed = list(waiting), []
+            for name in names:  # a parcel is let go as soon as it is packed
+                packed.append(waiting.pop(name).packed(table, pack))
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(list(waiting), pa.int64()),
+                    pa.array(names, pa.int64()),
                     *(pa.array([x[i] for x in packed], pa.binary()) for i in range(3)),
                 ],
                 ["bucket", "strings", "places", "docs"],
@@ -174,7 +180,7 @@ def _dealer(hot, buckets: int):
 
         for batch in batches:
             ids = np.stack([batch.column(n).to_numpy() for n in ("doc_id", "text_key")], axis=1)
-            for first, end, data, offsets in text_blocks(batch.column("text")):
+            for first, end, data, offsets in text_blocks(batch.column("text"), BLOCK):
                 text, begin, stop, keys, _, (starts, ends, word_offsets) = _runs(data, offsets, hot.value)
                 base = sum(map(len, rows))
                 rows.append(ids[first:end])
@@ -292,7 +298,7 @@ def _cutter(text: str, keep: list[str], found: str):
             flat = ranges.flatten()
             first, end = (flat.field(i).to_numpy() for i in (0, 1))
             row = np.repeat(np.arange(len(ranges)), counts)
-            out = [_cut(*block, row, first, end) for block in text_blocks(batch.column(text))]
+            out = [_cut(*block, row, first, end) for block in text_blocks(batch.column(text), BLOCK)]
             total = [np.concatenate([np.zeros(0, np.int64), *(x[i] for x in out)]) for i in (0, 1)]
             texts = pa.array([t for x in out for t in x[2]], pa.string())
             columns = [batch.column(c) for c in keep]
@@ -341,7 +347,8 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key))
         .agg(F.collect_list(F.struct("first", "end")).alias(found))
     )
-    ranges = stored(ranges, "ranges")
+    with small_batches(df.sparkSession):
+        ranges = stored(ranges, "ranges")
     rows = df.select(*keep).withColumn(key, F.xxhash64(text))
     same = (F.col(doc_id).cast("long") == F.col(own_id)) & (F.col(key) == F.col(own_key))
     none = F.expr("cast(array() AS array<struct<first:long,end:long>>)")

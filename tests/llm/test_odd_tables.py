@@ -6,14 +6,16 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_queries_llm import check_packed, encoding, whole_ids
 
-from panelcast.llm import bpe, chat, classifier, near_dedup, packing, sharding, substring_dedup, vector_search, warc
+from panelcast.llm import arrays, bpe, chat, classifier, near_dedup, packing, sharding, substring_dedup, vector_search, warc
 from panelcast.llm.components import components
 from panelcast.llm.quality_rules import quality_rules
 from panelcast.llm.record_queries import tokenizer_file
+from panelcast.llm.storage import BATCH_ROWS, small_batches
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 
@@ -170,6 +172,44 @@ def test_bins_that_stay_behind_are_not_missed():
         assert packed(packing._closed) <= packed(lambda bins: [False] * len(bins))
 
 
+def test_text_blocks_of_slices_and_nulls():
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["ab", None, "", "é", "cd"], kind).slice(1)
+        for own, wanted in ((column, ["", "", "é", "cd"]), (column.slice(1, 2), ["", "é"]), (column.slice(0, 0), [])):
+            found = [
+                bytes(data[a:b]).decode()
+                for _, _, data, at in arrays.text_blocks(own, 2)
+                for a, b in zip(at[:-1], at[1:], strict=True)
+            ]
+            assert found == wanted
+
+
+def test_small_batches(spark):
+    def sizes():
+        docs = spark.range(0, 5000, 1, 1)
+        found = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [x.num_rows]}) for x in batches), "n long")
+        return max(r.n for r in found.collect())
+
+    before = spark.conf.get(BATCH_ROWS)
+    with pytest.raises(ZeroDivisionError), small_batches(spark):
+        assert sizes() == 1000
+        with small_batches(spark, 2000):
+            assert sizes() == 1000
+        raise ZeroDivisionError
+    assert spark.conf.get(BATCH_ROWS) == before and sizes() == 5000
+
+
+def test_texts_reach_the_dealer_few_at_a_time(spark, monkeypatch):
+    """Neither the packing of texts nor the dealing of passages gets a whole partition as one batch."""
+    seen = []
+    monkeypatch.setattr(packing, "small_batches", lambda s: seen.append("pack") or small_batches(s))
+    monkeypatch.setattr(substring_dedup, "small_batches", lambda s: seen.append("deal") or small_batches(s))
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    assert packing.pack(docs, tokenizer_file("word_bpe_49k.json")).count() == 2
+    assert substring_dedup.dedup_substrings(docs).count() == 2
+    assert {"pack", "deal"} == set(seen)
+
+
 def test_best_fit_uses_the_fullest_bin():
     bins = packing.best_fit([(5, ["a"]), (3, ["b"]), (7, ["c"]), (2, ["d"]), (3, ["e"])], 10)
     assert sorted(x[0] for x in bins) == [10, 10]
