@@ -139,6 +139,19 @@ def test_words_before_marks_are_looked_up_apart():
     assert encoder.encode(["una?! una!!"]) == encoder.encode(["una ?! una !!"]) and not met
 
 
+def test_texts_in_utf8_and_parts_met_again():
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as definition:
+        encoder = packing.WordEncoder(definition.read())
+    texts = ["", "new new, old new", "old", "Äh, new! old <|ENDOFTEXT|> newer newer", " \n", "newest old newest, newest,"]
+    wanted = [whole_ids(t)[:-1] for t in texts]
+    for given in (texts, [t.encode() for t in texts]):
+        for some in ([t] for t in given), [given], [given[::-1], given]:
+            for group in some:
+                found = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(group)]
+                assert found == [wanted[given.index(t)] for t in group]
+            encoder.known.clear()
+
+
 def test_nearly_full_sequences_take_small_pieces(spark):
     """Texts of two partitions: one leaves room for three tokens, the other has an empty text."""
     rows = [(1, " ".join(["the"] * 2044)), (2, ""), (3, "the")]
