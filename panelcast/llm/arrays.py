@@ -1,7 +1,7 @@
 """Word positions and word hashes of whole text columns, as numpy arrays.
 
 A word is a run of bytes other than space, tab, line feed, vertical tab, form feed and
-carriage return. Texts are handled in blocks of about two megabytes, so memory follows the block
+carriage return. Texts are handled in blocks of about half a megabyte, so memory follows the block
 (or the longest single text), not the batch or the partition.
 """
 
@@ -13,7 +13,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
+#: Bytes of words that are hashed at a time.
+HASH_BYTES = 1 << 17
 SPACES = [9, 10, 11, 12, 13, 32]
 
 
@@ -73,14 +75,25 @@ def word_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray):
 
 
 def hash_words(data, starts, ends, factor: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """A 64-bit hash of every word; another odd `factor` gives an independent one."""
+    """A 64-bit hash of every word; another odd `factor` gives an independent one. Words are taken
+    `HASH_BYTES` at a time, as their bytes become several arrays of eight times the size."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    own, begins, lengths = word_bytes(data, starts, ends)
-    at = np.arange(len(own)) - np.repeat(begins, lengths)
-    table = np.full(min(int(lengths.max()), 1 << 16), factor, np.uint64)
+    upto = np.cumsum(ends - starts)
+    table = np.full(min(int((ends - starts).max()), 1 << 16), factor, np.uint64)
     table[0] = 1
     table = np.cumprod(table, dtype=np.uint64)
+    out, first, done = np.empty(len(starts), np.uint64), 0, 0
+    while first < len(starts):
+        end = max(int(np.searchsorted(upto, done + HASH_BYTES, "right")), first + 1)
+        out[first:end] = _hashed(data, starts[first:end], ends[first:end], table)
+        first, done = end, int(upto[end - 1])
+    return out
+
+
+def _hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray) -> np.ndarray:
+    own, begins, lengths = word_bytes(data, starts, ends)
+    at = np.arange(len(own)) - np.repeat(begins, lengths)
     weights = table[at & 0xFFFF]
     if len(table) == 1 << 16:
         weights *= 2 * (at >> 16).astype(np.uint64) + np.uint64(1)

@@ -26,7 +26,8 @@ SHARPNESS = 8
 THRESHOLD = 0.7
 CLASS_GRAMS, TRIGRAMS, RUNS = 8**4, 2048, 8
 TERMS = CLASS_GRAMS + TRIGRAMS + RUNS
-BLOCK = 1 << 20
+#: Bytes of text whose terms a task holds as a matrix at a time.
+BLOCK = 1 << 18
 
 
 def _byte_classes() -> np.ndarray:

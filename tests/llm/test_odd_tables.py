@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
@@ -15,7 +16,7 @@ from panelcast.llm import arrays, bpe, chat, classifier, near_dedup, packing, sh
 from panelcast.llm.components import components
 from panelcast.llm.quality_rules import quality_rules
 from panelcast.llm.record_queries import tokenizer_file
-from panelcast.llm.storage import BATCH_ROWS, small_batches
+from panelcast.llm.storage import BATCH_ROWS, small_batches, stored
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 
@@ -212,6 +213,24 @@ def test_small_batches(spark):
     assert spark.conf.get(BATCH_ROWS) == before and sizes() == 5000
 
 
+def test_stored_tables_are_made_in_small_batches(spark):
+    docs = spark.range(0, 5000, 1, 1)
+    found = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [x.num_rows]}) for x in batches), "n long")
+    assert max(r.n for r in stored(found, "sizes").collect()) == 1000
+
+
+def test_hashing_words_takes_little_memory(monkeypatch):
+    data = np.frombuffer(b"some words of a text " * 100_000 + b"x" * 300_000 + b" end", np.uint8)
+    starts, ends, _ = arrays.find_words(data, np.array([0, len(data)]))
+    tracemalloc.start()
+    found = arrays.hash_words(data, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(data)
+    monkeypatch.setattr(arrays, "HASH_BYTES", 1 << 30)
+    assert (found == arrays.hash_words(data, starts, ends)).all()
+
+
 def test_texts_reach_the_dealer_few_at_a_time(spark, monkeypatch):
     """Neither the packing of texts nor the dealing of passages gets a whole partition as one batch."""
     seen = []
