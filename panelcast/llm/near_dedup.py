@@ -302,12 +302,14 @@ def _prefixes(idf, frequency):
                 inside = before <= (1 - SIMILARITY) * totals[text] * (1 + 1e-9)
                 own = text[inside]
                 rest = totals[own] - before[inside]
-                name = names[order][inside].view(np.int64)
-                out.append((name, nodes[first + own], groups[first + own], totals[own], rest))
-            kinds = [pa.int64()] * 3 + [pa.float64()] * 2
+                name = names[order].view(np.int64)
+                # A text's first shingle has none before it and names itself.
+                previous = np.where(np.append(True, text[1:] != text[:-1])[: len(text)], name, np.roll(name, 1))
+                out.append((name[inside], previous[inside], nodes[first + own], groups[first + own], totals[own], rest))
+            kinds = [pa.int64()] * 4 + [pa.float64()] * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([x[i] for x in out]) if out else [], k) for i, k in enumerate(kinds)],
-                ["shingle", "node", "component", "total", "rest"],
+                ["shingle", "previous", "node", "component", "total", "rest"],
             )
 
     return run
@@ -321,24 +323,39 @@ def _prefix_pairs(open_texts: DataFrame, idf) -> DataFrame:
     common. The common weight is at most what is left of either text from its first common
     shingle on, and a similarity of s needs s / (1 + s) of both weights together.
     """
+    return _meetings(_prefix_rows(open_texts, idf)).distinct()
+
+
+def _prefix_rows(open_texts: DataFrame, idf) -> DataFrame:
+    """Shingles of the texts' prefixes that several components have, with the one before each in its text."""
     open_texts = stored(open_texts, "near-open")
     context = open_texts.sparkSession.sparkContext
     frequency = context.broadcast(_counted(open_texts, _shingle_slots(idf), ORDER_SLOTS)[0].astype(np.int32))
     rows = open_texts.select("node", "component", "text").mapInArrow(
-        _prefixes(idf, frequency), "shingle long, node long, component long, total double, rest double"
+        _prefixes(idf, frequency), "shingle long, previous long, node long, component long, total double, rest double"
     )
     rows = stored(rows, "near-prefixes")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    rows = rows.join(mixed.where("lo < hi").select("shingle"), "shingle", "left_semi")
-    other = rows.select("shingle", F.col("node").alias("b"), F.col("component").alias("c"), F.col("total").alias("t"), F.col("rest").alias("r"))
+    return rows.join(mixed.where("lo < hi").select("shingle"), "shingle", "left_semi")
+
+
+def _meetings(rows: DataFrame) -> DataFrame:
+    """Pairs that share a shingle, with enough weight from it on, but not where they share the one
+    before it as well: there they have met already, with more weight left. All texts have their
+    shingles in one order, so a pair meets at its first common one, and a passage that many texts
+    share does not repeat their pairs with each of its shingles."""
+    other = rows.select(
+        "shingle", F.col("previous").alias("p"), F.col("node").alias("b"), F.col("component").alias("c"),
+        F.col("total").alias("t"), F.col("rest").alias("r"),
+    )
     need = SIMILARITY / (1 + SIMILARITY) * (1 - 1e-9) * (F.col("total") + F.col("t"))
     enough = F.least("rest", "r") >= need
+    first = (F.col("previous") != F.col("p")) | (F.col("previous") == F.col("shingle"))
     return (
         rows.withColumnRenamed("node", "a")
         .join(other, "shingle")
-        .where((F.col("a") > F.col("b")) & (F.col("component") != F.col("c")) & enough)
+        .where((F.col("a") > F.col("b")) & (F.col("component") != F.col("c")) & enough & first)
         .select("a", "b", F.col("b").alias("lo"), F.col("a").alias("hi"))
-        .distinct()
     )
 
 

@@ -372,6 +372,30 @@ def repeated_ids():
     return [(50, a), (50, b), (50, e), (60, near[0]), (61, near[1]), (None, c), (40, near[2]), (None, d), (None, near[3]), (None, d)]
 
 
+def test_texts_meet_at_their_first_common_shingle(spark):
+    """Every pair that shares prefix shingles with enough weight left meets, though not at each of them."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [
+        " ".join(passage[rng.randrange(3) :] + [rng.choice(passage) for _ in range(rng.randrange(12))]) for _ in range(30)
+    ] + ["one", "one", " ".join(passage)]
+    docs = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "node long, component long, text string")
+    idf = spark.sparkContext.broadcast(near_dedup.word_idf(docs))
+    rows = near_dedup._prefix_rows(docs, idf)
+    met = [(r.a, r.b) for r in near_dedup._meetings(rows).collect()]
+    by_shingle, need = {}, near_dedup.SIMILARITY / (1 + near_dedup.SIMILARITY) * (1 - 1e-9)
+    for r in rows.collect():
+        by_shingle.setdefault(r.shingle, []).append(r)
+    everywhere = [
+        (x.node, y.node)
+        for own in by_shingle.values() for x in own for y in own
+        if x.node > y.node and min(x.rest, y.rest) >= need * (x.total + y.total)
+    ]
+    assert set(met) == set(everywhere) and (31, 30) in set(met)
+    assert len(met) < 0.7 * len(everywhere)
+    assert {(r.a, r.b) for r in near_dedup._prefix_pairs(docs, idf).collect()} == set(everywhere)
+
+
 def test_near_duplicates_of_repeated_and_null_ids(spark):
     rows = repeated_ids()
     found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
