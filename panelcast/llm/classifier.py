@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.llm.arrays import find_words, hash_words, text_blocks
+from panelcast.llm.memory import returning
 
 #: The fit takes at most so many labelled texts of each class, chosen by a hash of doc_id.
 SAMPLE_PER_CLASS = 1500
@@ -171,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     """Fit on a bounded sample: at most 2 * `per_class` rows of term counts reach the driver."""
     rows, prior = training_rows(docs, labels, per_class)
     schema = "doc_id long, label int, terms binary, counts binary"
-    found = sorted(rows.mapInArrow(_sparse_terms, schema).collect())
+    found = sorted(rows.mapInArrow(returning(_sparse_terms), schema).collect())
     counts = np.zeros((len(found), TERMS), np.float32)
     for i, row in enumerate(found):
         counts[i, np.frombuffer(row.terms, np.int32)] = np.frombuffer(row.counts, np.float32)
@@ -196,5 +197,5 @@ def score(docs: DataFrame, model: NeighbourModel, text: str = "text") -> DataFra
             )
 
     schema = T.StructType([docs.schema[c] for c in keep]).add("score", "double")
-    scored = docs.mapInArrow(run, schema)
+    scored = docs.mapInArrow(returning(run), schema)
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.arrays import find_words, hash_words, splitmix, text_blocks, window_hash
 from panelcast.llm.components import components
+from panelcast.llm.memory import returning
 from panelcast.llm.storage import stored
 
 SHINGLE = 5
@@ -67,7 +68,7 @@ def _frequencies(slots_of, size: int):
 
 def _counted(docs: DataFrame, slots_of, size: int) -> tuple[np.ndarray, int]:
     """Counts of all slots and the number of texts; a table of fixed size."""
-    cells = docs.select("text").mapInArrow(_frequencies(slots_of, size), "slot int, n long")
+    cells = docs.select("text").mapInArrow(returning(_frequencies(slots_of, size)), "slot int, n long")
     found = cells.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     slots, n = (found.column(c).to_numpy() for c in ("slot", "n"))
     counts, known = np.zeros(size, np.int64), slots >= 0
@@ -244,7 +245,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
     left = pairs.join(texts.withColumnRenamed("node", "a"), "a")
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = left.join(right, "b").select("a", "b", "text", "text_b")
-    found = rows.mapInArrow(_verifier(idf), "a long, b long, similarity double")
+    found = rows.mapInArrow(returning(_verifier(idf)), "a long, b long, similarity double")
     pair = (F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     return stored(found.select(*pair, "similarity"), "compared")
 
@@ -332,7 +333,8 @@ def _prefix_rows(open_texts: DataFrame, idf) -> DataFrame:
     context = open_texts.sparkSession.sparkContext
     frequency = context.broadcast(_counted(open_texts, _shingle_slots(idf), ORDER_SLOTS)[0].astype(np.int32))
     rows = open_texts.select("node", "component", "text").mapInArrow(
-        _prefixes(idf, frequency), "shingle long, previous long, node long, component long, total double, rest double"
+        returning(_prefixes(idf, frequency)),
+        "shingle long, previous long, node long, component long, total double, rest double",
     )
     rows = stored(rows, "near-prefixes")
     mixed = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -372,7 +374,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
     ).withColumn("digest", F.md5("text"))
     idf = df.sparkSession.sparkContext.broadcast(word_idf(docs))
-    sampled = docs.mapInArrow(_sampler(idf), "doc_id long, digest string, keys array<long>")
+    sampled = docs.mapInArrow(returning(_sampler(idf)), "doc_id long, digest string, keys array<long>")
     rows = stored(sampled, "near-samples")
     # One node per text: copies share the digest and all keys.
     distinct = (

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from panelcast.llm.arrays import find_words, text_blocks, window_starts
 from panelcast.llm.columns import unused
+from panelcast.llm.memory import returning
 from panelcast.llm.storage import stored
 
 WINDOW = 8
@@ -107,7 +108,7 @@ def base_counts(df: DataFrame, text: str = "text", keep: list[str] | None = None
     schema = T.StructType([rows.schema[c] for c in keep])
     for name in COUNTS:
         schema = schema.add(name, "long")
-    return rows.mapInArrow(_counter(text, keep), schema)
+    return rows.mapInArrow(returning(_counter(text, keep)), schema)
 
 
 def base_failed() -> Column:

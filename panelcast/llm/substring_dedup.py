@@ -40,6 +40,7 @@ from panelcast.llm.arrays import (
     word_bytes,
 )
 from panelcast.llm.columns import unused
+from panelcast.llm.memory import returning
 from panelcast.llm.storage import small_batches, stored
 
 WINDOW = 50
@@ -105,7 +106,7 @@ def _minimisers(batches):
 
 def hot_minimisers(docs: DataFrame) -> np.ndarray:
     """Bitmap of the slots of hot minimisers."""
-    counts = docs.mapInArrow(_minimisers, "minimiser long, strings long")
+    counts = docs.mapInArrow(returning(_minimisers), "minimiser long, strings long")
     sums = counts.groupBy("minimiser").agg(F.sum("strings").alias("strings"))
     return _bitmap(sums.where(F.col("strings") > HOT_STRINGS), F.col("minimiser"), BITMAP_BITS)
 
@@ -283,7 +284,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
     parcels = docs.mapInArrow(
-        _dealer(hot, buckets), "bucket long, strings binary, places binary, docs binary"
+        returning(_dealer(hot, buckets)), "bucket long, strings binary, places binary, docs binary"
     )
     return parcels.groupBy("bucket").applyInArrow(
         _repeats, "doc_id long, text_key long, first long, end long"
@@ -359,4 +360,4 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     joined = touched.select(*keep, found).unionByName(whole.select(*keep, found))
     schema = T.StructType([df.schema[c] for c in keep])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return joined.mapInArrow(_cutter(text, keep, found), schema)
+    return joined.mapInArrow(returning(_cutter(text, keep, found)), schema)
