@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm import classifier, near_dedup, packing, quality_rules, substring_dedup
 from panelcast.llm.record_queries import WORD_TOKENIZER, tokenizer_file
-from panelcast.llm.storage import stored
+from panelcast.llm.storage import small_batches, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -19,10 +19,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted to be of good quality. The model is fitted on labelled ones of them."""
+    """Documents predicted to be of good quality. The model is fitted on labelled ones of them. They are stored,
+    as a caller's own write would send whole partitions to Python in one batch."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    model = classifier.fit(docs, labels)
-    return classifier.score(docs.select(*COLUMNS), model).where("predicted = 1").select(*COLUMNS)
+    with small_batches(spark):
+        model = classifier.fit(docs, labels)
+    scored = classifier.score(docs.select(*COLUMNS), model)
+    return stored(scored.where("predicted = 1").select(*COLUMNS), "classified")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

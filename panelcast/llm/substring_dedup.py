@@ -14,7 +14,7 @@ hit in it merely deals a minimiser's windows in that finer way, the result is th
 strings of a task are sent once, with the places where they occur.
 
 The ranges found go back to their texts by a join, for which only texts that have any are
-shuffled. A bitmap over the texts' keys tells which; it has `BITS_PER_TEXT` bits for each of them up to
+shuffled and go to Python. A bitmap over the texts' keys tells which; it has `BITS_PER_TEXT` bits for each of them up to
 a fixed size, and a chance hit in it merely shuffles a text that keeps all its words.
 """
 
@@ -356,8 +356,14 @@ def dedup_substrings(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     place = F.xxhash64(F.col(doc_id).cast("long"), F.col(key))
     rows = _marked(rows, place, ranges, F.xxhash64(own_id, own_key), hit)
     touched = rows.where(F.col(hit)).join(ranges, same, "left").withColumn(found, F.coalesce(found, none))
-    whole = rows.where(~F.col(hit)).withColumn(found, none)
-    joined = touched.select(*keep, found).unionByName(whole.select(*keep, found))
     schema = T.StructType([df.schema[c] for c in keep])
     schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
-    return joined.mapInArrow(returning(_cutter(text, keep, found)), schema)
+    cut = touched.select(*keep, found).mapInArrow(returning(_cutter(text, keep, found)), schema)
+    # Texts without ranges, mostly the larger part, need no Python.
+    words = F.coalesce(F.btrim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")), F.lit(""))
+    spaces = F.octet_length(words) - F.octet_length(F.replace(words, F.lit(" "), F.lit("")))
+    counted = F.when(words == "", 0).otherwise(spaces + 1).cast("long")
+    whole = rows.where(~F.col(hit)).select(
+        *keep, counted.alias("n_words"), F.lit(0).cast("long").alias("n_removed"), words.alias("kept_text")
+    )
+    return cut.unionByName(whole)

@@ -8,6 +8,7 @@ import numpy as np
 import corpus_pipeline
 from panelcast.llm import classifier, memory, near_dedup, packing, quality_rules, substring_dedup
 from panelcast.llm.record_queries import WORD_TOKENIZER, tokenizer_file
+from panelcast.llm.storage import READ_ROWS, small_batches
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -54,3 +55,31 @@ def test_parts_are_met_again_after_the_table_is_emptied(monkeypatch):
     wanted = encoder.encode(texts)
     monkeypatch.setattr(packing, "MAX_KNOWN", 10)
     assert [encoder.encode([t])[0] for t in texts] == wanted and len(encoder.known) < 30
+
+
+def test_files_are_read_by_few_rows(spark):
+    before = spark.conf.get(READ_ROWS)
+    with small_batches(spark):
+        assert int(spark.conf.get(READ_ROWS)) == 512
+        with small_batches(spark, read_rows=2000):
+            assert int(spark.conf.get(READ_ROWS)) == 512
+    assert spark.conf.get(READ_ROWS) == before
+
+
+def test_texts_without_ranges_are_not_sent_to_python(spark, odd):
+    """Scoring ends in a stored table; the cutter gets only texts that a join has found ranges for."""
+    stages = dict(corpus_pipeline.STAGES)
+    plan = stages["quality_classifier"](spark, odd, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan
+    plan = stages["repeated_passages"](spark, odd, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and plan.count("MapInArrow") == 1 and "regexp_replace" not in plan
+
+
+def test_words_of_whole_texts(spark, odd, odd_rows):
+    """Odd white space, nulls and empty texts, counted without Python."""
+    found = substring_dedup.dedup_substrings(odd.where("doc_id IN (0, 1, 2, 6, 10, 11)")).collect()
+    texts = {r[0]: r[1] for r in odd_rows}
+    assert {r.doc_id for r in found} == {0, 1, 2, 6, 10, 11}
+    for row in found:
+        words = re.findall(r"[^\x20\x09-\x0d]+", texts[row.doc_id] or "")
+        assert (row.n_words, row.n_removed, row.kept_text) == (len(words), 0, " ".join(words))
