@@ -19,11 +19,16 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted to be of good quality. The model is fitted on labelled ones of them."""
+    """Documents predicted to be of good quality. The model is fitted on labelled ones of them. A score depends on the
+    text only: digests of the texts that fall are stored, so that the texts meet Python in small batches and are not
+    written once more."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     with small_batches(spark):
         model = classifier.fit(docs, labels)
-    return classifier.score(docs.select(*COLUMNS), model).where("predicted = 1").select(*COLUMNS)
+    digest = F.md5(F.coalesce("text", F.lit(""))).alias("_md5")
+    scored = classifier.score(docs.select("text", digest), model)
+    fallen = stored(scored.where("NOT predicted <=> 1").select("_md5").distinct(), "fallen")
+    return docs.select(*COLUMNS, digest).join(fallen, "_md5", "left_anti").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
