@@ -186,6 +186,51 @@ def test_bins_that_stay_behind_are_not_missed():
         assert packed(packing._closed) <= packed(lambda bins: [False] * len(bins))
 
 
+def test_all_bins_with_room_are_packed(spark):
+    """Partitions with more such bins than any bound a round could have: as if one held the bins of all."""
+    rng = np.random.default_rng(7)
+    nodes = [rng.integers(1030, 2040, 150), *([int(x)] for x in rng.integers(2, 1000, 11)), rng.integers(1, 2047, 150), [1948], [100]]
+    parts, at = [], 0
+    for own in nodes:
+        parts.append([(at + i, "the " * (int(n) - 1)) for i, n in enumerate(own)])
+        at += len(own)
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(parts, len(parts)).flatMap(list), "doc_id long, text string")
+    packed = packing.pack(docs, tokenizer_file("word_bpe_49k.json")).collect()
+    assert sorted((r.doc_id, r.length) for r in packed) == list(enumerate(int(n) for own in nodes for n in own))
+    found = {}
+    for r in sorted(packed, key=lambda r: r.offset):
+        assert r.offset == found.get(r.sequence_id, 0)
+        found[r.sequence_id] = r.offset + r.length
+    local = [packing.best_fit([(int(n), [{}]) for n in own]) for own in nodes]
+    assert sorted(found.values()) == sorted(fill for fill, _ in packing.best_fit(sum(local, [])))
+
+
+def test_a_small_bin_takes_the_fullest_of_many(spark):
+    """It fits into all bins of the other partition, and fills the fullest."""
+    rows = [(i, "the " * 1399) for i in range(100)] + [(100, "the " * 1947)] * 2
+    parts = spark.sparkContext.parallelize([rows, [(101, "the " * 99)]], 2).flatMap(list)
+    packed = packing.pack(spark.createDataFrame(parts, "doc_id long, text string"), tokenizer_file("word_bpe_49k.json")).collect()
+    (small,) = [r for r in packed if r.doc_id == 101]
+    assert small.offset == 1948 and len({r.sequence_id for r in packed}) == 102
+
+
+def test_bins_that_are_there_count_as_bins():
+    rng = np.random.default_rng(9)
+    for high in (3, 40, 1024):
+        fills = [int(x) for x in rng.integers(1025, 2049, 60)]
+        items = [(int(x), [i]) for i, x in enumerate(rng.integers(1, high, 200))]
+        counts = {fill: fills.count(fill) for fill in fills}
+        bins = packing.best_fit(items, standing=counts)
+        taken = [members[0] for _, members in bins if isinstance(members[0], tuple)]
+        assert len(set(taken)) == len(taken) and all(k < counts[fill] for fill, k in taken)
+        sizes = dict((i, size) for size, (i,) in items)
+        assert all(fill == sum(x[0] if isinstance(x, tuple) else sizes[x] for x in members) for fill, members in bins)
+        for fill, _ in taken:
+            fills.remove(fill)
+        whole = packing.best_fit([*((fill, [fill]) for fill, n in counts.items() for _ in range(n)), *items])
+        assert sorted([*fills, *(fill for fill, _ in bins)]) == sorted(fill for fill, _ in whole)
+
+
 def test_text_blocks_of_slices_and_nulls():
     for kind in (pa.string(), pa.large_string()):
         column = pa.array(["ab", None, "", "é", "cd"], kind).slice(1)
